@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
+from .factors import remove_repeated_words
 from .fingerprint import fingerprints
 from .language import fit_language, identify
 from .mixing import mix_sources
 from .packing import pack, tokenised_pieces
 from .quality import line_quality
+from .suffixes import remove_repeats
 
 
 def tokenizer_path() -> str:
@@ -20,6 +22,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(documents(spark, sf_dir))
 
@@ -29,6 +35,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit_language(docs))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(documents(spark, sf_dir))
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
@@ -42,8 +52,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_quality": op2_line_quality,
     "op3_language_id": op3_language_id,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_fingerprint": op6_fingerprint,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_source_mix": op10_source_mix,
