@@ -11,6 +11,7 @@ from .factors import remove_repeated_words
 from .fingerprint import fingerprints
 from .language import fit_language, identify
 from .mixing import mix_sources
+from .neardup import near_groups
 from .packing import pack, tokenised_pieces
 from .quality import line_quality
 from .suffixes import remove_repeats
@@ -47,6 +48,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(tokenised_pieces(documents(spark, sf_dir), tokenizer_path()))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents(spark, sf_dir), words=2)
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_fingerprint": op6_fingerprint,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_near_dedup": op8_near_dedup,
     "op10_source_mix": op10_source_mix,
 }
 
