@@ -15,6 +15,8 @@ from .neardup import near_groups
 from .packing import pack, tokenised_pieces
 from .quality import line_quality
 from .suffixes import remove_repeats
+from .tokens import token_counts
+from .toxicity import toxicity
 
 
 def tokenizer_path() -> str:
@@ -36,6 +38,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit_language(docs))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(documents(spark, sf_dir))
 
@@ -52,6 +58,12 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir), words=2)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
@@ -60,10 +72,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_quality": op2_line_quality,
     "op3_language_id": op3_language_id,
+    "op4_toxicity": op4_toxicity,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_fingerprint": op6_fingerprint,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_near_dedup": op8_near_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_source_mix": op10_source_mix,
 }
 
