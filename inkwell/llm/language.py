@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import crc_fold
 
@@ -85,10 +86,9 @@ class LanguageModel:
         self.languages, self.codes, self.weights, self.bias = languages, codes, weights, bias
 
     @classmethod
-    def fit(cls, texts: list[str], langs: list[str], bits: int = 31, rounds: int = 200, l2: float = 1e-5) -> LanguageModel:
+    def fit(cls, x: np.ndarray, langs: list[str], bits: int = 31, rounds: int = 60, l2: float = 1e-5) -> LanguageModel:
         languages = sorted(set(langs))
         codes = codewords(len(languages), bits)
-        x = features(texts)
         place = {k: i for i, k in enumerate(languages)}
         y = np.array([place[k] for k in langs])
         share = np.bincount(y, minlength=len(languages))[y]
@@ -119,43 +119,69 @@ class LanguageModel:
 
 
 def fit_language(docs: DataFrame, sample: int = 3000) -> LanguageModel | None:
-    """A model from at most `sample` rows (a documented bound, spread evenly over the languages and drawn by a
-    seeded hash of the text) with crc32(doc_id) mod 5 != 0, a language and a text with letters; None if no row qualifies."""
-    rows = docs.filter((crc_fold() != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rows = rows.select("lang", F.xxhash64("text", F.lit(3)).alias("draw"), "doc_id")
-    names = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()]
-    if not names:
+    """A model from about `sample` rows (a documented bound, spread evenly over at most 200 languages, drawn by a
+    seeded hash of the id) with crc32(doc_id) mod 5 != 0, a language and a text with letters; None if there is none."""
+    rows = docs.filter((crc_fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()
+    if not counts:
         return None
-    each = max(1, sample // len(names))
-    # the smallest draws of each language: a bounded heap per partition, never a sort of the table
-    picked = None
-    for name in names:
-        one = rows.filter(F.col("lang") == name).orderBy("draw", "doc_id").limit(each)
-        picked = one if picked is None else picked.unionByName(one)
-    ids = [r[0] for r in picked.select("doc_id").collect() if r[0] is not None]
-    got = docs.filter(F.col("doc_id").isin(ids) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang").collect()
-    got = sorted(got, key=lambda r: (r["doc_id"], r["text"]))[: 2 * sample]
-    return LanguageModel.fit([r["text"] for r in got], [r["lang"] for r in got]) if got else None
+    each = max(1, sample // len(counts))
+    # the draw takes half as many again, and what is too much is cut off here: one pass, no sort of the table
+    rates = docs.sparkSession.createDataFrame([(r["lang"], 1.5 * each / r["count"]) for r in counts], "lang string, rate double")
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / F.lit(1 << 30)
+    drawn = rows.join(F.broadcast(rates), "lang").withColumn("draw", draw).filter("draw < rate").select("lang", "draw", "text")
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, draws, texts = (batch.column(i).to_pylist() for i in range(3))
+            kept = [k for k, t in enumerate(texts) if any(map(str.isalpha, t))]
+            out = []
+            for k in kept:
+                x = features([texts[k]])[0]
+                at = np.flatnonzero(x)
+                out.append((langs[k], draws[k], at.astype("<u2").tobytes(), x[at].astype("<f4").tobytes()))
+            names = ["lang", "draw", "at", "x"]
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], schema=pa.schema(list(zip(names, (pa.string(), pa.float64(), pa.binary(), pa.binary())))))
+
+    got = sorted(drawn.mapInArrow(vectors, "lang string, draw double, at binary, x binary").collect(), key=lambda r: (r["lang"], r["draw"], r["at"]))
+    held: dict[str, list] = {}
+    for r in got:
+        if len(own := held.setdefault(r["lang"], [])) < each:
+            own.append(r)
+    chosen = [r for own in held.values() for r in own]
+    if not chosen:
+        return None
+    x = np.zeros((len(chosen), WIDTH), np.float32)
+    for k, r in enumerate(chosen):
+        x[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["x"], "<f4")
+    return LanguageModel.fit(x, [r["lang"] for r in chosen])
 
 
-def identify(docs: DataFrame, model: LanguageModel | None, min_margin: float = 0.05) -> DataFrame:
-    """One row per document: held_out, lang_pred, score in 0..1, ambiguous.
+def identify(docs: DataFrame, model: LanguageModel | None, min_margin: float = 0.02, keep_rows: bool = False) -> DataFrame:
+    """One row per document: held_out, lang_pred, score in 0..1, ambiguous; with keep_rows also the row as `_row`.
 
     A text that is null or has no letter is `und` with score 0, ambiguous; so is every text if there is no model.
-    Only the text is read for a prediction; whole texts count, in overlapping parts summed up."""
+    Only the text is read for a prediction; whole texts count, in overlapping parts summed up. Repeated rows and
+    null ids get a row each, an empty table gives an empty result, and other columns are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH * bits floats, whatever the corpus
 
-    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
-                texts = [t if isinstance(t, str) else "" for t in part["text"]]
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                texts = [t or "" for t in batch.column(0).to_pylist()]
                 lettered = np.array([any(map(str.isalpha, t)) for t in texts], bool)
-                pred, score, unsure = np.full(len(part), "und", object), np.zeros(len(part)), np.ones(len(part), bool)
+                pred, score, unsure = np.full(len(texts), "und", object), np.zeros(len(texts)), np.ones(len(texts), bool)
                 if m is not None and lettered.any():
                     best, share, margin = m.decode(features([t for t, k in zip(texts, lettered) if k]))
                     pred[lettered], score[lettered], unsure[lettered] = np.array(m.languages, object)[best], share, margin < min_margin
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "held_out": part["held_out"], "lang_pred": pred, "score": score, "ambiguous": unsure})
-
-    return docs.select("doc_id", "text", (crc_fold() == 0).alias("held_out")).mapInPandas(judged, SCHEMA)
+                columns = [batch.column(1), batch.column(2), pa.array(pred, pa.string()), pa.array(score), pa.array(unsure), *batch.columns[3:]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score", "ambiguous", *["_row"] * keep_rows])
+
+    row = [F.struct("*").alias("_row")] if keep_rows else []
+    given = docs.select("text", F.col("doc_id").cast("bigint"), (crc_fold() == 0).alias("held_out"), *row)
+    schema = StructType.fromDDL(SCHEMA)
+    for f in given.schema.fields[3:]:
+        schema = schema.add(f)
+    return given.mapInArrow(judged, schema)

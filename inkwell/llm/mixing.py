@@ -60,8 +60,8 @@ def targets(sources: DataFrame, cap: float = 3.0) -> DataFrame:
     return final.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, block: int = 16, shard_words: int = 1_000_000, cap: float = 3.0, seed: int = 7) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, epochs, part, taken.
+def mix_sources(docs: DataFrame, block: int = 16, shard_words: int = 1_000_000, cap: float = 3.0, seed: int = 7, carry: str | None = None) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, epochs, part, taken, and the column `carry`.
 
     A source's target is `epochs` whole passes over it and a rest. The rests are divided into blocks of `block`
     words, apportioned to the sources, and each source's blocks to its shards (documents by seeded hash, about
@@ -72,7 +72,9 @@ def mix_sources(docs: DataFrame, block: int = 16, shard_words: int = 1_000_000,
     documents of their own, and equal ones may share the cut in either order, with the same rows as result. An
     empty table gives an empty result."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    rows = cut(docs.select("doc_id", "source", size.alias("size")))
+    own = [carry] if carry else []
+    rows = docs.select("doc_id", "source", size.alias("size"), *own)
+    rows = rows if carry else cut(rows)  # what is carried may be whole texts: counted again rather than written
     goal = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cap))
     goal = goal.withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.lit(int(cap)), F.floor(F.col("target") / F.col("source_size") + 1e-9))).otherwise(0).cast("bigint"))
     goal = goal.withColumn("_votes", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0)))
@@ -88,6 +90,21 @@ def mix_sources(docs: DataFrame, block: int = 16, shard_words: int = 1_000_000,
     stream = Window.partitionBy("_key", "_shard").orderBy("_draw", "doc_id", "size")
     laid = dealt.join(shards, ["_key", "_shard"]).withColumn("_end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
     part = F.least(F.col("size"), F.greatest(F.lit(0), F.col("_words") * block - (F.col("_end") - F.col("size"))))
-    return laid.select("doc_id", "source", "size", "source_size", "target", "epochs", part.cast("bigint").alias("part")).withColumn(
+    return laid.select("doc_id", "source", "size", "source_size", "target", "epochs", part.cast("bigint").alias("part"), *own).withColumn(
         "taken", F.col("epochs") * F.col("size") + F.col("part")
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself, with the columns of docs: each document as often as its source's target asks for, the last
+    time perhaps only its first words (the white space between them kept, n_chars counted anew). Documents of which
+    nothing is taken are not in the result; options as in mix_sources."""
+    mixed = mix_sources(docs.select("doc_id", "source", "text", F.struct("*").alias("_row")), carry="_row", **options)
+    copies = F.concat(F.array_repeat(F.lit(-1).cast("bigint"), F.col("epochs").cast("int")), F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>")))
+    rows = mixed.select("_row", F.explode(copies).alias("_words"))
+    # words with the white space before them
+    words = F.split(F.col("_row.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    text = F.when(F.col("_words") < 0, F.col("_row.text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("_words"), F.lit(0)).cast("int")), ""))
+    rows = rows.withColumn("_text", text)
+    new = {"text": F.col("_text"), "n_chars": F.char_length("_text").cast("bigint")}
+    return rows.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))
