@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +20,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; only where the session names none (tests) a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if not named:
+        held = spark.sparkContext.getCheckpointDir()
+        if not held:
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="inkwell-ckpt-"))
+        named = spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """df written to the cluster's checkpoint folder, its lineage cut. Only where the session names no
-    folder (tests) a temporary one is set."""
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="inkwell-ckpt-"))
+    """df with its lineage cut, through the cluster's checkpoint folder; Spark removes the files with the last
+    reference to them."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def table(df: DataFrame) -> DataFrame:
+    """df written as a table in the shared folder and read again. Loops use this: a checkpointed plan keeps the
+    constraints that the optimiser inferred, and over many rounds they fill the driver."""
+    path = f"{shared_folder(df.sparkSession)}/inkwell-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def crc_fold(col: str = "doc_id"):
     """crc32 of the id as text, modulo 5; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % 5

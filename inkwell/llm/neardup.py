@@ -5,10 +5,13 @@ A node's sketch has REGISTERS registers: each is floor(1 - log_b h) of the least
 the set, cut to 0..LIMIT, so that sketches of a union are the maxima. Bands of ROWS registers give candidates; with
 BANDS bands a pair of similarity 0.8 shares none with probability (1 - 0.8 ** ROWS) ** BANDS, about 1e-7.
 
-No bucket's pairs are listed. Round 0 compares each bucket's members with its first one, the rounds after it 1, 2,
-4, ... further ones with the members that are still in another component, until every bucket lies in one component
-or all its pairs across components were compared. A pair is compared by sketches first (joint maximum likelihood
-of the similarity, given both exact sizes), and linked only by its full sets.
+No bucket's pairs are listed. First each bucket's members are compared with its first one, which settles most
+buckets. The nodes of buckets that still hold several components look for partners by their rare shingles: two sets
+of sizes p and q that are linked have o = percent * (p + q) / (100 + percent) shingles in common, so one of them is
+among any p - o + 1 of the first set. A node takes those that no larger component has (they find nothing), then the
+rarest; only the smaller component of a pair looks, so members of a large group don't look for each other. A pair is
+compared by sketches first (joint maximum likelihood of the similarity, given both exact sizes), and linked only by
+its full sets.
 """
 
 from __future__ import annotations
@@ -17,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, mix, words_of
+from .common import chunks, cut, mix, table, words_of
 
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
@@ -113,8 +117,12 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(sketch, "doc_id bigint, n bigint, sig1 bigint, sig2 bigint, regs binary")
 
 
+PAIR = "a bigint, b bigint, ca bigint, cb bigint"
+_PAIR = ["a", "b", "ca", "cb"]
+
+
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Of (a, b), those whose sketches make a link possible."""
+    """Of (a, b, ca, cb), those whose sketches make a link possible."""
     side = nodes.select("node", "n", "regs")
     joined = pairs.join(side.withColumnsRenamed({"node": "a", "n": "na", "regs": "ra"}), "a").join(side.withColumnsRenamed({"node": "b", "n": "nb", "regs": "rb"}), "b")
     joined = joined.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 80)
@@ -124,46 +132,65 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             if len(p):
                 ra, rb = (np.frombuffer(b"".join(p[c]), "<u2").reshape(len(p), REGISTERS) for c in ("ra", "rb"))
                 keep = estimated(ra, rb, p["na"].to_numpy(float), p["nb"].to_numpy(float)) >= LEAST_ESTIMATE
-                yield p.loc[keep, ["a", "b"]]
+                yield p.loc[keep, _PAIR]
 
-    return joined.select("a", "b", "na", "nb", "ra", "rb").mapInPandas(likely, "a bigint, b bigint")
+    return joined.select(*_PAIR, "na", "nb", "ra", "rb").mapInPandas(likely, PAIR)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of (a, b), those with 100 * intersection >= percent * union of their full sets."""
+    """Of (a, b, ca, cb), those with 100 * intersection >= percent * union of their full sets."""
     joined = pairs.join(sets.withColumnsRenamed({"node": "a", "items": "sa"}), "a").join(sets.withColumnsRenamed({"node": "b", "items": "sb"}), "b")
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             keep = []
             for x, y in zip(p["sa"], p["sb"]):
-                s, t = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                k = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(100 * k >= percent * (len(s) + len(t) - k))
-            yield p.loc[np.array(keep, bool), ["a", "b"]]
+                k = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * k >= percent * (len(x) + len(y) - k))
+            yield p.loc[np.array(keep, bool), _PAIR]
 
-    return joined.select("a", "b", "sa", "sb").mapInPandas(confirm, "a bigint, b bigint")
+    return joined.select(*_PAIR, "sa", "sb").mapInPandas(confirm, PAIR)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes of links (a, b): the smallest node reachable.
 
-    Every round sends the least node known in each neighbourhood to all of it (so that stars fold into their
-    centre), then follows each label to its own label; paths halve, and the rounds end when nothing changes. Rows
-    are cut to the checkpoint folder each round; only the number of changes reaches the driver."""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    edges = cut(both)
-    label = cut(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")))
+    Every round sends the least label known in each neighbourhood to all of it (so that stars fold into their
+    centre), then follows each label to its own label; paths halve, and the rounds end when nothing changes. Each
+    round's labels are written to the shared folder; only whether something changed reaches the driver."""
+    edges = table(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component"))
     while True:
+        label = table(label)
         seen = edges.join(label.select(F.col("node").alias("b"), F.col("component").alias("c")), "b").groupBy(F.col("a").alias("node")).agg(F.min("c").alias("c"))
         near = label.join(seen, "node", "left").select("node", F.col("component").alias("old"), F.least("component", "c").alias("component"))
-        jump = near.select(F.col("node").alias("component"), F.col("component").alias("up"))
-        new = cut(near.join(jump, "component", "left").select("node", "old", F.least("component", "up").alias("component")))
+        jump = label.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        new = table(near.join(jump, "component", "left").select("node", "old", F.least("component", "up").alias("component")))
         if new.filter("old != component").isEmpty():
             return new.select("node", "component")
         label = new.select("node", "component")
 
 
+def _partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by rare shingles."""
+    sizes = open_.groupBy("comp").agg(F.count("*").alias("nodes"))
+    held = open_.join(sizes, "comp").select("node", F.struct("nodes", "comp").alias("rank"))
+    rows = held.join(sets, "node").select("node", "rank", F.size("items").alias("n"), F.explode("items").alias("item"))
+    found = rows.groupBy("item").agg(F.count("*").alias("nodes"), F.min("rank.comp").alias("c0"), F.max("rank.comp").alias("c1"), F.max("rank").alias("top"))
+    found = found.filter("c0 != c1").select("item", "nodes", "top")
+    cross = table(rows.join(found, "item"))
+    looking = cross.filter("top > rank")
+    # shingles that no larger component has stand first: they are the node's others
+    mine = Window.partitionBy("node")
+    place = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("nodes", "item")) - 1
+    probes = looking.withColumn("place", place).filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent)
+    probes = probes.select("item", F.col("node").alias("a"), F.col("rank").alias("ra"), F.col("n").alias("na"), "place")
+    others = cross.select("item", F.col("node").alias("b"), F.col("rank").alias("rb"), F.col("n").alias("nb"))
+    both = (F.col("na") + F.col("nb")) * percent
+    pairs = probes.join(others, "item").filter((F.col("rb") > F.col("ra")) & ((F.col("na") - F.col("place")) * (100 + percent) >= both) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
+    return pairs.select("a", "b", F.col("ra.comp").alias("ca"), F.col("rb.comp").alias("cb")).distinct()
+
+
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -180,38 +207,29 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     shared = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("first"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who")).filter("members > 1")
     # buckets with the same members count once
     shared = shared.groupBy("members", "who", "first").agg(F.min("key").alias("key"))
-    buckets = cut(rows.join(shared.select("key", "first"), "key").select("key", "first", "node"))
+    buckets = table(rows.join(shared.select("key", "first"), "key").select("key", "first", "node"))
     # sets of the nodes that share a bucket
     ids = buckets.select("node").distinct()
     wanted = docs.select("doc_id", "text").join(ids.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
 
-    def as_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode() if isinstance(t, str) else b"" for t in batch["text"]]
+            texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
             for i, j in chunks(texts, 2_000_000):
                 s, n = shingle_sets(texts[i:j], words)
-                raw, end = s.astype("<u8").tobytes(), np.cumsum(n) * 8
-                yield pd.DataFrame({"node": batch["doc_id"].to_numpy()[i:j], "items": [raw[e - 8 * k : e] for e, k in zip(end, n)]})
-
-    sets = cut(wanted.mapInPandas(as_sets, "node bigint, items binary"))
-    first = buckets.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = cut(_linked(_likely(first, nodes), sets, percent))
-    turn, step = 1, 1
-    open_ = None
-    while True:
-        comp = components(links)
-        at = (buckets if open_ is None else open_.select("key", "node", "turn")).join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        if open_ is None:
-            at = at.withColumn("turn", F.row_number().over(Window.partitionBy("key").orderBy("node")) - 1).drop("first")
-        mixed = at.groupBy("key").agg(F.max("turn").alias("top"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter((F.col("c0") != F.col("c1")) & (F.col("top") >= turn))
-        open_ = cut(at.join(mixed.select("key"), "key"))
-        if open_.isEmpty():
-            break
-        p = open_.filter(F.col("turn").between(turn, turn + step - 1)).select("key", F.col("node").alias("a"), F.col("turn").alias("ta"), F.col("comp").alias("ca"))
-        pairs = p.join(open_.select("key", F.col("node").alias("b"), F.col("turn").alias("tb"), F.col("comp").alias("cb")), "key")
-        pairs = pairs.filter("ta < tb and ca != cb").select("a", "b").distinct()
-        links = cut(links.unionByName(_linked(_likely(pairs, nodes), sets, percent)))
-        turn, step = turn + step, step * 2
+                ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                items = pa.ListArray.from_arrays(pa.array(ends), pa.array(s.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), items], ["node", "items"])
+
+    sets = table(wanted.select("doc_id", "text").mapInArrow(as_sets, "node bigint, items array<bigint>"))
+    first = buckets.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"), F.col("first").alias("ca"), F.col("node").alias("cb")).distinct()
+    comp = components(_linked(_likely(first, nodes), sets, percent))
+    at = buckets.join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
+    mixed = at.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
+    open_ = table(at.join(mixed.select("key"), "key", "left_semi").select("node", "comp").distinct())
+    new = table(_linked(_likely(_partners(open_, sets, percent), nodes), sets, percent))
+    merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnsRenamed({"node": "comp", "component": "into"})
+    comp = comp.withColumnRenamed("component", "comp").join(merged, "comp", "full").select(F.coalesce("node", "comp").alias("node"), F.coalesce("into", "comp").alias("component"))
     whole = nodes.join(comp, "node", "left").select("sig1", "sig2", "n", F.coalesce("component", "node").alias("component"))
     out = sketched.drop("regs").join(whole, ["sig1", "sig2", "n"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
