@@ -7,6 +7,8 @@ sequence beyond what best-fit itself leaves, so thousands of pieces a group cost
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -20,30 +22,60 @@ from .common import cut
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+#: Fixed value: the bytes that the byte-level vocabulary writes as themselves; the others follow from 256 on, in order.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: b for b in _VISIBLE} | {b: 256 + k for k, b in enumerate(sorted({*range(256)} - {*_VISIBLE}))}
+#: Lower-case words that the tokenizer's normaliser leaves as they are and that it never splits.
+_plain = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+_marks = b".,;:!?"
+
+
 class WordIds(dict):
-    """Token ids (little-endian uint32) of words between ASCII white space.
+    """Token ids (little-endian uint32) of words between ASCII white space, each worked out when first asked for.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its words in a row;
-    remembering words saves most of the work. At most `limit` words are remembered at a time."""
+    The tokenizer drops white space and never joins across it, so a text's ids are those of its words in a row. It
+    also lower-cases, and separates letters from the marks after them: a word of plain letters goes to the model
+    itself, which saves most of the work; any other word goes through the whole tokenizer. At most `limit` words are
+    remembered from one batch to the next."""
 
     def __init__(self, path: str, limit: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.limit:
-            self.clear()
-            new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+        self.tokenizer, self.limit, self.parts = Tokenizer.from_file(path), limit, {}
+        self.model = self.tokenizer.model
+
+    def _part(self, word: bytes) -> bytes:
+        text = word.decode(errors="replace").lower()
+        if _plain.fullmatch(text):
+            own = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_CHARS)
+            ids = [t.id for t in self.model.tokenize(own)]
+        else:
+            ids = self.tokenizer.encode(word.decode(errors="replace"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(_marks)
+        # marks are parts of their own after a letter, ASCII or Latin-1
+        letter = core[-1:].isalpha() or (core[-2:-1] == b"\xc3" and core[-1:] != b"\x97" and core[-1:] != b"\xb7")
+        out = b""
+        for part in (core, word[len(core) :]) if letter else (word,):
+            # the parts of a special token must not meet it in another case
+            part = part if b"<|" in part else part.lower()
+            ids = self.parts.get(part)
+            if ids is None:
+                ids = self.parts[part] = self._part(part)
+            out += ids
+        self[word] = out
+        return out
+
+    def trim(self) -> None:
+        for held in (self, self.parts):
+            if len(held) > self.limit:
+                held.clear()
 
     def ids(self, words: list[bytes]) -> bytes:
-        return b"".join([self[w] for w in words])
+        return b"".join(map(self.__getitem__, words))
 
 
 _word_ids: dict[str, WordIds] = {}
@@ -65,10 +97,8 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, e
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
-                words = [(t or "").encode().split() for t in part["text"]]
-                known: set[bytes] = set()
-                known.update(*words)
-                memory.learn(known)
+                words = [t.encode().split() if isinstance(t, str) else [] for t in part["text"]]
+                memory.trim()
                 rows = []
                 for doc, w in zip(part["doc_id"], words):
                     ids = memory.ids(w) + tail
