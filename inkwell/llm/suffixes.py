@@ -169,18 +169,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes gone from text (a character cut in two goes whole) and n_chars counted anew;
-    every row and column stays."""
-    names = docs.columns
+    every row and column stays, whatever the other columns are called. A null text stays null."""
+    names, doc, text, chars = docs.columns, docs.columns.index("doc_id"), docs.columns.index("text"), "n_chars"
+    given = ["doc_id" if i == doc else "text" if i == text else f"c{i}" for i in range(len(names))]
+    count = given[names.index(chars)] if chars in names else None
+    whole = [g for g, f in zip(given, docs.schema) if f.dataType.typeName() in ("long", "integer", "short", "byte")]
+    schema = ", ".join(f"{g} {f.dataType.simpleString()}" for g, f in zip(given, docs.schema))
 
     def finish(rows: pd.DataFrame, spans: list[list[tuple[int, int]]]) -> pd.DataFrame:
-        rows = rows.copy()
+        rows = rows[given].copy()
         texts = [cut_bytes(t.encode(), own).decode(errors="ignore") if isinstance(t, str) else None for t, own in zip(rows["text"], spans)]
         rows["text"] = pd.Series(texts, index=rows.index, dtype=object)
-        if "n_chars" in names:
-            rows["n_chars"] = pd.Series([len(t) if t is not None else 0 for t in texts], index=rows.index)
-        for f in docs.schema:
-            if f.dataType.typeName() in ("long", "integer", "short"):
-                rows[f.name] = rows[f.name].astype("Int64")
-        return rows[names]
-
-    return repeated_spans(docs, BYTES, resolve_by_suffixes, finish, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+        if count:
+            rows[count] = pd.Series([len(t) if t is not None else 0 for t in texts], index=rows.index, dtype="Int64")
+        for c in whole:
+            rows[c] = rows[c].astype("Int64")
+        return rows
+
+    return repeated_spans(docs.toDF(*given), BYTES, resolve_by_suffixes, finish, schema).toDF(*names)
