@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,14 +69,18 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """M**i and M**-i modulo 2**64 for i < n."""
-    if "p" not in _powers or len(_powers["p"]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        for name, base in (("p", _MULT), ("q", _INV)):
-            x = np.full(size, base, np.uint64)
-            x[0] = 1
-            _powers[name] = np.multiply.accumulate(x)
-    return _powers["p"][:n], _powers["q"][:n]
+    """M**i and M**-i modulo 2**64 for i < n; short ones are kept."""
+    if "p" in _powers and n <= len(_powers["p"]):
+        return _powers["p"][:n], _powers["q"][:n]
+    size = 1 << max(16, (n - 1).bit_length())
+    made = []
+    for base in (_MULT, _INV):
+        x = np.full(size, base, np.uint64)
+        x[0] = 1
+        made.append(np.multiply.accumulate(x))
+    if size <= 1 << 21:
+        _powers["p"], _powers["q"] = made
+    return made[0][:n], made[1][:n]
 
 
 class Rolling:
@@ -124,3 +130,22 @@ def chunks(texts: list, size: int = 4_000_000):
         total += len(t) + 1
     if first < len(texts):
         yield first, len(texts)
+
+
+_held: dict[str, object] = {}
+
+
+def held(name: str, make):
+    """The one large object that a Python worker keeps from task to task; asking for another one lets go of it."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def let_go() -> None:
+    """Forget it, and hand freed memory back to the system: called by operators that need the room."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)

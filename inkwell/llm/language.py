@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import crc_fold
+from .common import crc_fold, let_go
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double, ambiguous boolean"
 WIDTH = 1 << 13
@@ -166,22 +166,23 @@ def identify(docs: DataFrame, model: LanguageModel | None, min_margin: float = 0
     shared = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH * bits floats, whatever the corpus
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         m = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                texts = [t or "" for t in batch.column(0).to_pylist()]
+                given = batch.column(2)
+                texts = [t or "" for t in (given.field("text") if keep_rows else given).to_pylist()]
                 lettered = np.array([any(map(str.isalpha, t)) for t in texts], bool)
                 pred, score, unsure = np.full(len(texts), "und", object), np.zeros(len(texts)), np.ones(len(texts), bool)
                 if m is not None and lettered.any():
                     best, share, margin = m.decode(features([t for t, k in zip(texts, lettered) if k]))
                     pred[lettered], score[lettered], unsure[lettered] = np.array(m.languages, object)[best], share, margin < min_margin
-                columns = [batch.column(1), batch.column(2), pa.array(pred, pa.string()), pa.array(score), pa.array(unsure), *batch.columns[3:]]
+                columns = [batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score), pa.array(unsure), *[given] * keep_rows]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score", "ambiguous", *["_row"] * keep_rows])
 
-    row = [F.struct("*").alias("_row")] if keep_rows else []
-    given = docs.select("text", F.col("doc_id").cast("bigint"), (crc_fold() == 0).alias("held_out"), *row)
+    given = docs.select(F.col("doc_id").cast("bigint"), (crc_fold() == 0).alias("held_out"), F.struct("*").alias("_row") if keep_rows else "text")
     schema = StructType.fromDDL(SCHEMA)
-    for f in given.schema.fields[3:]:
-        schema = schema.add(f)
+    if keep_rows:
+        schema = schema.add(given.schema["_row"])
     return given.mapInArrow(judged, schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, mix, table, words_of
+from .common import chunks, cut, let_go, mix, table, words_of
 
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
@@ -95,6 +95,7 @@ def estimated(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarr
 
 def _sketches(docs: DataFrame, words: int) -> DataFrame:
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for batch in batches:
             texts = [t.encode() if isinstance(t, str) else b"" for t in batch["text"]]
             ids = batch["doc_id"].astype("Int64")
@@ -213,6 +214,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     wanted = docs.select("doc_id", "text").join(ids.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
             for i, j in chunks(texts, 2_000_000):

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, held
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -38,7 +38,7 @@ class WordIds(dict):
     itself, which saves most of the work; any other word goes through the whole tokenizer. At most `limit` words are
     remembered from one batch to the next."""
 
-    def __init__(self, path: str, limit: int = 1_000_000) -> None:
+    def __init__(self, path: str, limit: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -78,22 +78,13 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words))
 
 
-_word_ids: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
-    if path not in _word_ids:
-        _word_ids[path] = WordIds(path)
-    return _word_ids[path]
-
-
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 0) -> DataFrame:
     """One row per piece of a document: its ids, then end_id, cut every `length` ids.
 
     A null text is empty and gives the piece [end_id]. Repeated rows give repeated pieces; a null doc_id stays."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory, tail = word_ids(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        memory, tail = held(f"ids {tokenizer_path}", lambda: WordIds(tokenizer_path)), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]

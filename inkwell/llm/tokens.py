@@ -14,6 +14,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import held
+
 SCHEMA = "doc_id bigint, n_bytes bigint, n_words bigint, n_tokens bigint"
 MARK = "▁"  # stands for the white space before a word
 #: Fixed value: what an unknown character scores below the worst piece, as in the unigram tokenizer.
@@ -32,13 +34,15 @@ def zipf_vocabulary(path: str) -> list[tuple[str, float]]:
     return [("<unk>", 0.0), *((p, -math.log(r) - whole) for r, p in enumerate(pieces, 1))]
 
 
-class UnigramCounter:
-    """Counts of pieces of words; at most `limit` words are remembered at a time."""
+class UnigramCounter(dict):
+    """Numbers of pieces of words (bytes, without the mark), each worked out when first asked for; at most `limit`
+    are remembered from one batch to the next."""
 
-    def __init__(self, vocabulary: list[tuple[str, float]], unknown: int = 0, limit: int = 1_000_000) -> None:
+    def __init__(self, vocabulary: list[tuple[str, float]], unknown: int = 0, limit: int = 500_000) -> None:
         import ahocorasick
 
-        self.limit, self.known = limit, {}
+        super().__init__()
+        self.limit = limit
         self.unknown = min(s for _, s in vocabulary) - UNKNOWN_PENALTY
         self.automaton = ahocorasick.Automaton()
         for i, (piece, score) in enumerate(vocabulary):
@@ -75,22 +79,13 @@ class UnigramCounter:
             best[end], count[end], last_unknown[end] = top, n_top, u_top
         return count[n]
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = list(words)
-        for w in new:
-            self.known[w] = self.pieces(MARK + w.decode(errors="replace"))
-
-
-_counters: dict[str, UnigramCounter] = {}
-
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = self.pieces(MARK + word.decode(errors="replace"))
+        return n
 
-def counter_of(path: str) -> UnigramCounter:
-    if path not in _counters:
-        _counters[path] = UnigramCounter(zipf_vocabulary(path))
-    return _counters[path]
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            self.clear()
 
 
 def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -101,14 +96,14 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     columns are not read. Whole texts count, in batches of bounded size; nothing is shuffled."""
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = counter_of(vocabulary_path)
+        counter = held(f"pieces {vocabulary_path}", lambda: UnigramCounter(zipf_vocabulary(vocabulary_path)))
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
                 raw = [t.encode(errors="replace") if isinstance(t, str) else b"" for t in part["text"]]
                 words = [t.split() for t in raw]
-                counter.learn(set().union(*words))
-                known = counter.known.__getitem__
+                counter.trim()
+                known = counter.__getitem__
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].astype("Int64"), "n_bytes": [len(t) for t in raw],

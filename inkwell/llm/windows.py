@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, Rolling, chunks, mix, words_of
+from .common import BYTE_VALUE, Rolling, chunks, let_go, mix, words_of
 
 HOT = 4096
 NULL_ID = np.iinfo(np.int64).max
@@ -184,6 +184,7 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
     rows = docs.withColumn("th", F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)))
 
     def find_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for batch in batches:
             texts, doc, th = _texts(batch)
             found: list[tuple] = []
