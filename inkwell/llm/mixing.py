@@ -101,7 +101,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     nothing is taken are not in the result; options as in mix_sources."""
     mixed = mix_sources(docs.select("doc_id", "source", "text", F.struct("*").alias("_row")), carry="_row", **options)
     copies = F.concat(F.array_repeat(F.lit(-1).cast("bigint"), F.col("epochs").cast("int")), F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>")))
-    rows = mixed.select("_row", F.explode(copies).alias("_words"))
+    rows = mixed.filter("taken > 0").select("_row", F.explode(copies).alias("_words"))
     # words with the white space before them
     words = F.split(F.col("_row.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     text = F.when(F.col("_words") < 0, F.col("_row.text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("_words"), F.lit(0)).cast("int")), ""))

@@ -42,7 +42,8 @@ def shingle_sets(texts: list[bytes], words: int = 2) -> tuple[np.ndarray, np.nda
     n = np.bincount(text, minlength=len(texts))
     gram = value.copy()
     for k in range(1, words):
-        gram[: len(value) - k] = mix(gram[: len(value) - k] ^ (value[k:] * np.uint64(2 * k + 1)))
+        m = max(0, len(value) - k)
+        gram[:m] = mix(gram[:m] ^ (value[k:] * np.uint64(2 * k + 1)))
     ends = np.cumsum(n)
     from_end = ends[text] - np.arange(len(text)) if len(text) else np.zeros(0, np.int64)
     whole = from_end >= words

@@ -169,6 +169,8 @@ class ToxicityModel:
     def votes(self, found: np.ndarray, cosine: np.ndarray) -> np.ndarray:
         """Share of toxic votes: each neighbour's is what it stands for by cosine ** 2 / (0.05 + distance), with the
         prior as half a vote; without neighbours the score of texts without a term."""
+        if not len(self.ids):
+            return np.full(len(found), self.blank)
         w = np.where(found >= 0, self.stands[found] * cosine**2 / (0.05 + 1 - np.minimum(cosine, 1)), 0.0)
         share = ((w * (self.toxic[found] == 1)).sum(axis=1) + 0.5 * self.prior) / (w.sum(axis=1) + 0.5)
         return np.where((found >= 0).any(axis=1), share, self.blank)
