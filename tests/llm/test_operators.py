@@ -129,6 +129,25 @@ def test_toxicity(spark):
     assert {r["score"] for r in toxicity(df, marks.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_uses_every_term_of_the_examples(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    common = [word() for _ in range(50)]
+    rows = [(i, " ".join(rng.choice(common) for _ in range(20))) for i in range(300)]
+    labels = [(i, 0, int(i % 3 == 0 and i < 90)) for i in range(300)]
+    rare = [next(i for i in range(1000 + 10 * y, 1010 + 10 * y) if zlib.crc32(str(i).encode()) % 5) for y in (0, 1)]
+    for y, i in enumerate(rare):  # five words that no other example has
+        rows += [(i, text := " ".join(f"qz{y}{word()}" for _ in range(5))), (i + 1000, text)]
+        labels.append((i, 0, y))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in toxicity(df, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()}
+    for y, i in enumerate(rare):
+        assert found[i + 1000]["n_terms"] >= 5
+        first = found[i + 1000]["evidence"][0]
+        assert (first["doc_id"], first["toxic"]) == (i, y) and abs(first["cosine"] - 1) < 1e-9
+    assert found[rare[1] + 1000]["score"] > found[rare[0] + 1000]["score"]
+
+
 def test_fingerprints(docs, rows):
     texts = [(d, t or "") for d, t, *_ in sorted(rows, key=lambda r: -r[0])]
     found = {r["doc_id"]: r for r in fingerprints(docs).collect()}
