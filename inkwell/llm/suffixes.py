@@ -1,4 +1,4 @@
-"""Suffix sorting by grouping, and removal of repeated byte strings with it."""
+"""Suffix sorting by grouping, and removal of repeated byte strings by hashes of their windows."""
 
 from __future__ import annotations
 
@@ -105,8 +105,8 @@ def resolve_by_suffixes(want: list[np.ndarray], symbols: list[np.ndarray], kind:
     """First starts of the windows of a block's runs.
 
     The block's text has three symbols a run: its anchor's k-gram, the hash of what follows it, and a mark. The
-    suffix array of that text puts runs with the same anchor, and among them those with the same continuation,
-    next to each other; the exact check then compares whole windows inside each such interval."""
+    suffix array of that text only numbers the anchors: repeats are the windows of one anchor with equal 64-bit
+    hashes, whose bytes aren't compared."""
     h, d, x, lo, a, m, _ = want
     flat = np.concatenate(symbols)
     windows = m.astype(np.int64) + 1
