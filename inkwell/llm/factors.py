@@ -1,4 +1,4 @@
-"""Removal of repeated word sequences by relative Lempel-Ziv parsing."""
+"""Removal of repeated word sequences by hashes of their windows."""
 
 from __future__ import annotations
 
@@ -15,12 +15,11 @@ SCHEMA = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
 def resolve_by_factors(want: list[np.ndarray], symbols: list[np.ndarray], kind: Kind) -> tuple[np.ndarray, ...]:
-    """Greedy factors of each run against the runs before it, which are its reference blocks.
+    """Windows of each run whose hash a run before it, of the same anchor, has.
 
-    The index holds every window of the references by hash. At a place whose window is indexed, the factor is
-    extended along that reference for as long as the symbols agree; its windows are repeats. At the factor's
-    boundary the next window is looked up again, so that one which leaves the reference but lies in another is not
-    lost. What is not covered is indexed for the runs to come."""
+    The index holds every window of the runs before by hash. From a place whose window is indexed, the windows that
+    follow are compared with those that follow there, by hash too, before the next lookup; that saves lookups and
+    marks no other windows. What is not covered is indexed for the runs to come."""
     h, d, x, lo, a, m, _ = want
     flat = np.concatenate(symbols)
     windows = m.astype(np.int64) + 1
