@@ -102,8 +102,9 @@ def frame(rows) -> pd.DataFrame:
 PRIME, FACTOR = 2147483629, 1103515245
 
 
-def bucket_of(doc: np.ndarray, n: int) -> np.ndarray:
-    return ((doc.astype(np.int64) % PRIME * FACTOR >> 12) % n).astype(np.int32)
+def bucket_of(doc: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """By id and text hash, so that rows of one id, or without one, with different texts are dealt over the buckets."""
+    return (((doc.astype(np.int64) % PRIME + text.astype(np.int64)) % PRIME * FACTOR >> 12) % n).astype(np.int32)
 
 
 def joined_spans(doc: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
@@ -204,7 +205,7 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
             yield frame(
                 [
                     *split_by((h[keep] % np.uint64(n)).astype(np.int32), RUNS, [v[keep] for v in (h, c, d, x, lo, a, m)]),
-                    *split_by(bucket_of(spans[0], n), SPANS, spans),
+                    *split_by(bucket_of(spans[0], spans[1], n), SPANS, spans),
                 ]
             )
 
@@ -226,11 +227,11 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
         want = [h[keep], d[keep], x[keep], lo[keep], a[keep], m[keep], (size > HOT).astype(np.uint8)]
         passed = unpacked(SPANS, blobs(part, SPANS))
         spans = [np.concatenate([p, q]) for p, q in zip(again, passed)]
-        return frame([*split_by(bucket_of(want[1], n), WANTED, want), *split_by(bucket_of(spans[0], n), SPANS, spans)])
+        return frame([*split_by(bucket_of(want[1], want[2], n), WANTED, want), *split_by(bucket_of(spans[0], spans[1], n), SPANS, spans)])
 
     def answer(texts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         spans = unpacked(SPANS, blobs(part, SPANS))
-        out = list(split_by(bucket_of(spans[0], n), SPANS, spans))
+        out = list(split_by(bucket_of(spans[0], spans[1], n), SPANS, spans))
         h, d, x, lo, a, m, salted = unpacked(WANTED, blobs(part, WANTED))
         if not len(h):
             return frame(out)
@@ -283,7 +284,7 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
             left = ~repeated & (salted[run] > 0)
             r = run[left]
             firsts = list(split_by((value[left] % np.uint64(n)).astype(np.int32), FIRSTS, [value[left], d[r], x[r], start[left]]))
-        return frame([*split_by(bucket_of(spans[0], n), SPANS, spans), *firsts])
+        return frame([*split_by(bucket_of(spans[0], spans[1], n), SPANS, spans), *firsts])
 
     def settle_firsts(part: pd.DataFrame) -> pd.DataFrame:
         spans = unpacked(SPANS, blobs(part, SPANS))
@@ -293,7 +294,7 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
             r = order[~first]
             own = joined_spans(d[r], x[r], s[r], s[r].astype(np.int64) + w)
             spans = [np.concatenate([p, q]) for p, q in zip(spans, own)]
-        return frame(split_by(bucket_of(spans[0], n), SPANS, spans))
+        return frame(split_by(bucket_of(spans[0], spans[1], n), SPANS, spans))
 
     def gather(texts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         d, x, s, e = joined_spans(*unpacked(SPANS, blobs(part, SPANS)))
@@ -302,7 +303,7 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
             spans.setdefault(key, []).append((a, b))
         return finish(texts, [spans.get(key, []) for key in zip(texts["doc_id"].astype("Int64").fillna(NULL_ID).tolist(), texts["th"].tolist())])
 
-    home = rows.withColumn("bucket", document_bucket(F.coalesce("doc_id", F.lit(int(NULL_ID))), n))
+    home = rows.withColumn("bucket", document_bucket(F.coalesce("doc_id", F.lit(int(NULL_ID))), F.col("th"), n))
     texts = home.groupBy("bucket")
     found = rows.select("doc_id", "text", "th").mapInPandas(find_runs, MESSAGE)
     wanted = found.groupBy("bucket").applyInPandas(settle_runs, MESSAGE)
@@ -311,6 +312,6 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
     return texts.cogroup(settled.groupBy("bucket")).applyInPandas(gather, schema)
 
 
-def document_bucket(doc, n: int):
+def document_bucket(doc, text, n: int):
     """bucket_of as a column expression."""
-    return F.pmod(F.shiftright(F.pmod(doc, F.lit(PRIME)) * F.lit(FACTOR), 12), F.lit(n)).cast("int")
+    return F.pmod(F.shiftright(F.pmod(F.pmod(doc, F.lit(PRIME)) + text, F.lit(PRIME)) * F.lit(FACTOR), 12), F.lit(n)).cast("int")

@@ -60,6 +60,22 @@ def test_repeated_words(docs, rows):
     assert found == {d: (n, k, sha) for d, (n, k, _, sha) in H.without_repeats(rows, 20, words=True).items()}
 
 
+def test_rows_without_an_id_are_dealt_by_text(spark):
+    from inkwell.llm.windows import NULL_ID, bucket_of, document_bucket
+
+    rng = random.Random(7)
+    keys = [(doc, rng.randrange(1 << 31)) for doc in (NULL_ID, -5, 3) for _ in range(300)]
+    doc, text = (np.array(c, np.int64) for c in zip(*keys))
+    own = bucket_of(doc, text.astype(np.uint32), 16)
+    df = spark.createDataFrame(keys, "d bigint, t bigint").coalesce(1)
+    assert [r[0] for r in df.select(document_bucket(df.d, df.t, 16)).collect()] == own.tolist()
+    assert all(np.bincount(own[doc == d], minlength=16).max() < 60 for d in (NULL_ID, -5, 3))
+    passage = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(40))
+    rows = [(None, f"{passage} {i} {'xyz'[i % 3] * 40}") for i in range(30)] + [(1, passage)]
+    found = remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(found) == 31 and all((r["n_removed"] >= len(passage)) == (r["doc_id"] is None) for r in found)
+
+
 def test_repeats_are_cut_from_the_documents(docs, rows):
     out = without_repeats(docs)
     assert out.dtypes == docs.dtypes
