@@ -7,92 +7,121 @@ sequence beyond what best-fit itself leaves, so thousands of pieces a group cost
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held
+from .common import chunks, cut, held
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-#: Fixed value: the bytes that the byte-level vocabulary writes as themselves; the others follow from 256 on, in order.
-_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_CHARS = {b: b for b in _VISIBLE} | {b: 256 + k for k, b in enumerate(sorted({*range(256)} - {*_VISIBLE}))}
 #: Lower-case words that the tokenizer's normaliser leaves as they are and that it never splits.
 _plain = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
-_marks = b".,;:!?"
+_marks = b".,;:!?#*$%&"
 
 
-class WordIds(dict):
-    """Token ids (little-endian uint32) of words between ASCII white space, each worked out when first asked for.
+class WordIds:
+    """Token ids (little-endian uint32) of words between ASCII white space.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words in a row. It
-    also lower-cases, and separates letters from the marks after them: a word of plain letters goes to the model
-    itself, which saves most of the work; any other word goes through the whole tokenizer. At most `limit` words are
-    remembered from one batch to the next."""
+    also lower-cases, and separates letters from the marks after them. What a batch's words lack is worked out in one
+    call. Words are held in two generations: when the younger weighs more than `room`
+    bytes the older goes, and with it only words that no text had since."""
 
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    def __init__(self, path: str, room: int = 120_000_000) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.limit, self.parts = Tokenizer.from_file(path), limit, {}
-        self.model = self.tokenizer.model
-
-    def _part(self, word: bytes) -> bytes:
-        text = word.decode(errors="replace").lower()
-        if _plain.fullmatch(text):
-            own = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_CHARS)
-            ids = [t.id for t in self.model.tokenize(own)]
-        else:
-            ids = self.tokenizer.encode(word.decode(errors="replace"), add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(_marks)
-        # marks are parts of their own after a letter, ASCII or Latin-1
-        letter = core[-1:].isalpha() or (core[-2:-1] == b"\xc3" and core[-1:] != b"\x97" and core[-1:] != b"\xb7")
-        out = b""
-        for part in (core, word[len(core) :]) if letter else (word,):
-            # the parts of a special token must not meet it in another case
-            part = part if b"<|" in part else part.lower()
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = self.parts[part] = self._part(part)
-            out += ids
-        self[word] = out
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core already
+        self.tokenizer, self.room = Tokenizer.from_file(path), room
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.last[i] = token.endswith("</w>")
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.weight = 0
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part: those of plain letters, which end with the one word end they have, many in a text."""
+        out = [b""] * len(parts)
+        low = [p.lower() for p in parts]
+        plain = [i for i, p in enumerate(low) if _plain.fullmatch(p)]
+        texts = [" ".join(low[i] for i in plain[k : k + 64]) for k in range(0, len(plain), 64)]
+        if texts:
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            at = np.concatenate([[0], np.flatnonzero(self.last[ids]) + 1]) * 4
+            raw = ids.tobytes()
+            for i, a, b in zip(plain, at[:-1].tolist(), at[1:].tolist()):
+                out[i] = raw[a:b]
+        others = sorted(set(range(len(parts))) - set(plain))
+        if others:
+            for i, e in zip(others, self.tokenizer.encode_batch_fast([parts[i] for i in others], add_special_tokens=False)):
+                out[i] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         return out
 
-    def trim(self) -> None:
-        for held in (self, self.parts):
-            if len(held) > self.limit:
-                held.clear()
-
-    def ids(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.__getitem__, words))
+    def _learn(self, words: set[bytes]) -> None:
+        new = []
+        for word in words:
+            if (held := self.old.get(word)) is None:
+                new.append(word)
+            else:
+                self.young[word] = held
+        cores, tails = [], []
+        for word in new:
+            core = word.rstrip(_marks)
+            # marks are parts of their own after a letter, ASCII or Latin-1
+            letter = core[-1:].isalpha() or (core[-2:-1] == b"\xc3" and core[-1:] != b"\x97" and core[-1:] != b"\xb7")
+            core, tail = (core, word[len(core) :]) if letter else (word, b"")
+            # the parts of a special token must not meet it in another case
+            cores.append(core if b"<|" in core else core.lower())
+            tails.append(tail)
+        parts = [p for p in {*cores, *tails} if p not in self.young]
+        self.young.update(zip(parts, self._encoded([p.decode(errors="replace") for p in parts])))
+        found = self.young.__getitem__
+        self.young.update(zip(new, map(bytes.__add__, map(found, cores), map(found, tails))))
+        self.weight += sum(map(len, parts)) + sum(map(len, words)) + sum(map(len, map(found, words))) + 150 * (len(parts) + len(words))
+
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Each text's ids."""
+        if self.weight > self.room:
+            self.old, self.young, self.weight = self.young, {}, 0
+        split = [t.split() for t in texts]
+        words = list(chain.from_iterable(split))
+        found = list(map(self.young.get, words))
+        if lacking := [k for k, ids in enumerate(found) if ids is None]:
+            self._learn({words[k] for k in lacking})
+            for k in lacking:
+                found[k] = self.young[words[k]]
+        at = 0
+        for own in split:
+            yield b"".join(found[at : at + len(own)])
+            at += len(own)
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 0) -> DataFrame:
     """One row per piece of a document: its ids, then end_id, cut every `length` ids.
 
-    A null text is empty and gives the piece [end_id]. Repeated rows give repeated pieces; a null doc_id stays."""
+    A null text is empty and gives the piece [end_id]. Repeated rows give repeated pieces; a null doc_id stays; an
+    empty table gives an empty result, and extra columns are not read."""
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory, tail = held(f"ids {tokenizer_path}", lambda: WordIds(tokenizer_path)), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
-                words = [t.encode().split() if isinstance(t, str) else [] for t in part["text"]]
-                memory.trim()
+            raw = [t.encode() if isinstance(t, str) else b"" for t in batch["text"]]
+            for at, to in chunks(raw, 1_000_000):
+                part = batch.iloc[at:to]
                 rows = []
-                for doc, w in zip(part["doc_id"], words):
-                    ids = memory.ids(w) + tail
+                for doc, ids in zip(part["doc_id"], memory.ids(raw[at:to])):
+                    ids += tail
                     for k, start in enumerate(range(0, len(ids) // 4, length)):
                         own = ids[4 * start : 4 * (start + length)]
                         rows.append((doc, k, start, len(own) // 4, zlib.crc32(own)))
@@ -151,20 +180,29 @@ def pack(
 
     Full pieces are sequences of their own. The others are dealt to groups of about group_pieces by a seeded hash
     of the row's place in the written table, so that no repeated document or length can fill one group. An empty
-    table gives an empty result. Columns named sequence_id or offset in the input are replaced."""
+    table gives an empty result. Columns named sequence_id or offset in the input are replaced; any other name may
+    occur, `_row` and `_group` included.
+
+    The defaults of `documents` and `attention` can't bind (a piece has a token at least, and a sum of squares is at
+    most the square of the sum): packing is by tokens alone then, and the norm only shapes which bin is taken."""
     attention = float(tokens) ** 2 if attention is None else attention
-    pieces = cut(pieces.drop("sequence_id", "offset").withColumn("_row", F.monotonically_increasing_id()))
-    full = F.col("length") >= tokens
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    given = [f"c{i}" for i in range(len(names))]
+    size = given[names.index("length")]
+    pieces = cut(pieces.select(*(F.col(f"`{c}`").alias(g) for c, g in zip(names, given)), F.monotonically_increasing_id().alias("row")))
+    full = F.col(size) >= tokens
     groups = max(1, round(pieces.filter(~full).count() / group_pieces))
-    rows = pieces.withColumn("_group", F.pmod(F.xxhash64("_row", F.lit(17)), F.lit(groups)))
+    rows = pieces.withColumn("part", F.pmod(F.xxhash64("row", F.lit(17)), F.lit(groups)))
+    whole = [f.name for f in pieces.schema if f.dataType.typeName() in ("long", "integer", "short", "byte")]
 
     def packed(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("_row", ignore_index=True)
-        b, o = best_fit(part["length"].to_numpy(), tokens, documents, attention, rule)
-        part["sequence_id"], part["offset"] = (part["_group"].to_numpy() << 40) + b, o
-        return part.drop(columns=["_group", "_row"])
-
-    kept = [c for c in pieces.columns if c != "_row"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name != "_row") + ", sequence_id bigint, offset bigint"
-    alone = rows.filter(full).select(*kept, (-F.col("_row") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
-    return rows.filter(~full).groupBy("_group").applyInPandas(packed, schema).unionByName(alone)
+        part = part.sort_values("row", ignore_index=True)
+        b, o = best_fit(part[size].to_numpy(), tokens, documents, attention, rule)
+        part["sequence_id"], part["offset"] = (part["part"].to_numpy() << 40) + b, o
+        for c in whole:
+            part[c] = part[c].astype("Int64")
+        return part.drop(columns=["part", "row"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name != "row") + ", sequence_id bigint, offset bigint"
+    alone = rows.filter(full).select(*given, (-F.col("row") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    return rows.filter(~full).groupBy("part").applyInPandas(packed, schema).unionByName(alone).toDF(*names, "sequence_id", "offset")
