@@ -1,65 +1,63 @@
-"""Removal of repeated word sequences by hashes of their windows."""
+"""Removal of repeated word sequences by relative Lempel-Ziv parsing."""
 
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import Rolling
-from .windows import WORDS, Kind, ranges, repeated_spans
+from .windows import WORDS, Kind, Runs, repeated_spans
 
 SCHEMA = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
-def resolve_by_factors(want: list[np.ndarray], symbols: list[np.ndarray], kind: Kind) -> tuple[np.ndarray, ...]:
-    """Windows of each run whose hash a run before it, of the same anchor, has.
+def resolve_by_factors(runs: Runs, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of a block's runs that also start earlier, by relative Lempel-Ziv factors.
 
-    The index holds every window of the runs before by hash. From a place whose window is indexed, the windows that
-    follow are compared with those that follow there, by hash too, before the next lookup; that saves lookups and
-    marks no other windows. What is not covered is indexed for the runs to come."""
-    h, d, x, lo, a, m, _ = want
-    flat = np.concatenate(symbols)
-    windows = m.astype(np.int64) + 1
-    length = windows + kind.window - 1
-    begin = np.cumsum(length) - length
-    roll = Rolling(flat)
-    turn = np.lexsort((lo, x, d, h))
-    run = np.repeat(turn, windows[turn])
-    shift = ranges(np.zeros(len(turn), np.int64), windows[turn])
-    at = begin[run] + shift
-    value = roll.slices(at, at + kind.window)
-    repeated = np.zeros(len(run), bool)
-    values, first = value.tolist(), 0
-    counts, anchors = windows[turn].tolist(), h[turn].tolist()
-    index: dict[int, int] = {}
-    last = None
-    marks = bytearray(len(run))
-    for k, anchor in zip(counts, anchors):
-        if anchor != last:
-            index, last = {}, anchor
-        i, stop = first, first + k
-        while i < stop:
-            j = index.get(values[i])
-            if j is None:
-                index[values[i]] = i
-                i += 1
+    Runs of one document that touch or overlap are one segment. In the order of the corpus each segment is parsed
+    greedily against the reference, which is all segments before it and what has been parsed of its own, indexed by
+    the `kind.window` words at each place that no factor covers. A factor goes on as long as its words equal the
+    reference's; at its end the windows that reach beyond it are looked up one by one, since they may stand elsewhere
+    in the reference, and the next factor begins with the first that does."""
+    w = kind.window
+    turn = np.lexsort((runs.start, runs.place))
+    code: dict[bytes, int] = {}
+    reference = array("i")
+    index: dict[bytes, int] = {}
+    found: list[tuple[int, int, int]] = []
+    place, start, windows = (v[turn].tolist() for v in (runs.place, runs.start, runs.windows))
+    k, turn = 0, turn.tolist()
+    while k < len(turn):
+        head, base = k, len(reference)
+        end = start[k]  # the segment's words reach up to here
+        while k < len(turn) and place[k] == place[head] and start[k] <= max(end - w + 1, start[head]):
+            words = runs.raw[turn[k]].split()
+            reference.extend([code.setdefault(x, len(code)) for x in words[max(0, end - start[k]) :]])
+            end = max(end, start[k] + windows[k] + w - 1)
+            k += 1
+        at, stop, own, shift = base, len(reference) - w, turn[head], start[head] - base
+        raw = memoryview(reference).cast("B")
+        while at <= stop:
+            key = raw[4 * at : 4 * (at + w)].tobytes()
+            there = index.setdefault(key, at)
+            if there == at:
+                at += 1
                 continue
-            marks[i] = 1
-            i += 1
-            j += 1
-            while i < stop and j < first and values[i] == values[j]:
-                marks[i] = 1
-                i += 1
-                j += 1
-        first = stop
-    repeated[:] = np.frombuffer(bytes(marks), np.uint8)
-    return run, lo[run].astype(np.int64) + shift, value, repeated
+            length = w
+            while at + length < len(reference) and reference[there + length] == reference[at + length]:
+                length += 1
+            found.append((own, at + shift, at + length - w + shift))
+            at += length - w + 1
+        raw.release()
+        reference.append(-1 - len(found))  # no factor goes on beyond a segment
+    out = np.array(found, np.int64).reshape(-1, 3)
+    return out[:, 0], out[:, 1], out[:, 2]
 
 
-def remove_repeated_words(docs: DataFrame) -> DataFrame:
+def remove_repeated_words(docs: DataFrame, **options: int) -> DataFrame:
     """Per document: n_words, n_removed and the SHA-256 of the words left, joined by one space, once every word is
     removed that a 20-word window covers which also starts earlier.
 
@@ -80,4 +78,4 @@ def remove_repeated_words(docs: DataFrame) -> DataFrame:
         got["doc_id"] = got["doc_id"].astype("Int64")
         return got
 
-    return repeated_spans(docs.select("doc_id", "text"), WORDS, resolve_by_factors, finish, SCHEMA)
+    return repeated_spans(docs.select("doc_id", "text"), WORDS, resolve_by_factors, finish, SCHEMA, **options)

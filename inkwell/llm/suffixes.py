@@ -1,4 +1,4 @@
-"""Suffix sorting by grouping, and removal of repeated byte strings by hashes of their windows."""
+"""Suffix sorting by grouping suffixes of a common Lyndon prefix, and removal of repeated byte strings with it."""
 
 from __future__ import annotations
 
@@ -8,8 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import BYTE_VALUE, Rolling
-from .windows import BYTES, Kind, ranges, repeated_spans
+from .windows import BYTES, Kind, Runs, ranges, repeated_spans
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
@@ -101,40 +100,198 @@ def suffix_array(text: list[int]) -> list[int]:
     return out
 
 
-def resolve_by_suffixes(want: list[np.ndarray], symbols: list[np.ndarray], kind: Kind) -> tuple[np.ndarray, ...]:
-    """First starts of the windows of a block's runs.
+def suffix_arrays(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """suffix_array of many texts at once, whose symbols stand in a row: the places of each text's sorted suffixes,
+    counted over the row. All texts take the same step at a time: in the first phase their next lower group, in the
+    second one pointer or one emitted suffix, so that numpy works on as many elements as there are texts."""
+    n, m = sizes.astype(np.int64), len(sizes)
+    begin = np.cumsum(n + 1) - n  # a pad before each text ends the pointers' chains
+    total = int(n.sum()) + m
+    text = np.full(total, -1, np.int64)
+    where = np.ones(total, bool)
+    where[begin - 1] = False
+    at = np.flatnonzero(where)
+    text[at] = symbols
+    owner = np.repeat(np.arange(m), n)
+    order = np.zeros(total, np.int64)
+    order[at] = at[np.argsort(owner * (int(symbols.max()) + 1) + symbols, kind="stable")]
+    place = np.zeros(total, np.int64)
+    place[order[at]] = at
+    first = np.zeros(total, bool)
+    first[at] = (text[order[at]] != text[order[at - 1]]) | ~where[at - 1]
+    heads = np.flatnonzero(first)
+    size = np.zeros(total, np.int64)
+    start = np.full(total, -1, np.int64)
+    ends = np.concatenate([heads[1:], [total]])
+    ends = np.where(where[ends - 1], ends, ends - 1)
+    size[heads] = ends - heads
+    start[order[at]] = heads[np.cumsum(first)[at] - 1]
+    before = np.zeros(total, np.int64)
 
-    The block's text has three symbols a run: its anchor's k-gram, the hash of what follows it, and a mark. The
-    suffix array of that text only numbers the anchors: repeats are the windows of one anchor with equal 64-bit
-    hashes, whose bytes aren't compared."""
-    h, d, x, lo, a, m, _ = want
-    flat = np.concatenate(symbols)
-    windows = m.astype(np.int64) + 1
-    length = windows + kind.window - 1
+    def lift(t: np.ndarray) -> None:
+        """Moves these suffixes, which equally many members of the present groups point to, into groups of their own."""
+        h = start[t]
+        by = np.argsort(h, kind="stable")
+        t, h = t[by], h[by]
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        head = np.flatnonzero(new)
+        k = np.diff(np.concatenate([head, [len(t)]]))
+        rank = np.arange(len(t)) - np.repeat(head, k)
+        for r in range(int(k.max())):
+            own = rank == r if r or len(head) != len(t) else slice(None)
+            swap(t[own], h[own])
+        u = h[head]
+        e = u + size[u]
+        start[t] = np.repeat(e, k)
+        size[e] = k
+
+    def swap(t: np.ndarray, h: np.ndarray) -> None:
+        size[h] -= 1
+        e = h + size[h]
+        p, other = place[t], order[e]
+        order[p], order[e] = other, t
+        place[other], place[t] = p, e
+
+    end, low = begin + n - 1, begin
+    while len(end):
+        g = start[order[end]]
+        count = end - g + 1
+        if (count == 1).all():
+            i, own = order[end], g
+        else:
+            own = np.repeat(g, count)
+            i = order[np.arange(len(own)) + np.repeat(g - (np.cumsum(count) - count), count)]
+        j = i - 1
+        high = np.flatnonzero(start[j] > own)
+        while len(high):
+            j[high] = before[j[high]]
+            high = high[start[j[high]] > own[high]]
+        before[i] = j
+        if own is g:
+            t = j[start[j] >= 0]
+            h = start[t]
+            more = size[h] > 1
+            t, h = t[more], h[more]
+            if len(t):
+                swap(t, h)
+                e = h + size[h]
+                start[t] = e
+                size[e] = 1
+        else:
+            same = np.flatnonzero(start[j] == own)
+            while len(same):
+                j[same] = before[j[same]]
+                before[i[same]] = j[same]
+                same = same[start[j[same]] == own[same]]
+            t, c = np.unique(j[start[j] >= 0], return_counts=True)
+            for level in np.unique(c)[::-1]:
+                lift(t[c == level])
+        end = g - 1
+        if (end < low).any():
+            keep = end >= low
+            end, low = end[keep], low[keep]
+
+    out = np.zeros(total, np.int64)
+    done = ~where
+    nxt = np.arange(total)
+    k, stop = begin.copy(), begin + n
+    out[k] = stop - 1
+    done[stop - 1] = True
+    nxt[begin] += 1
+    j = out[k] - 1
+    while len(k):
+        idle = done[j]
+        go = ~idle
+        i = j[go]
+        g = start[i]
+        out[nxt[g]] = i
+        nxt[g] += 1
+        done[i] = True
+        j[go] = before[i]
+        k += idle
+        over = k >= stop
+        if over.any():
+            keep = ~over
+            k, stop, j, idle = k[keep], stop[keep], j[keep], idle[keep]
+        j = np.where(idle, out[k] - 1, j) if len(k) else j
+    return out[at] - np.repeat(np.arange(1, m + 1), n)
+
+
+#: A text of more symbols is sorted alone; shorter ones together, in batches that stay in the cache.
+LONG, TOGETHER = 20_000, 1 << 18
+
+
+def sorted_suffixes(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of the sorted suffixes of each text in turn."""
+    out = np.zeros(len(symbols), np.int64)
+    begin = np.cumsum(sizes) - sizes
+    by = np.argsort(sizes, kind="stable")  # texts of like sizes take equally many steps
+    short = int(np.searchsorted(sizes[by], LONG, side="right"))
+    reach = np.cumsum(sizes[by[:short]])
+    at = 0
+    while at < short:
+        to = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + TOGETHER, side="right")))
+        own = by[at:to]
+        where = ranges(begin[own], sizes[own])
+        out[where] = where[suffix_arrays(symbols[where].astype(np.int64), sizes[own])]
+        at = to
+    for k in by[short:]:
+        s = slice(begin[k], begin[k] + sizes[k])
+        out[s] = np.array(suffix_array(symbols[s].tolist())) + begin[k]
+    return out
+
+
+def resolve_by_suffixes(runs: Runs, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of a block's runs that also start earlier, by a suffix array of each anchor's runs.
+
+    An anchor's text is its different runs, byte for byte, each after a mark. In the sorted suffixes, equal windows
+    are neighbours with a common prefix of a whole window, which is compared; such an interval's least place in the
+    corpus is the first start, and all others are repeats. A run that occurs several times stands in the text once,
+    with its first place; its later places are repeats of that one."""
+    w = kind.window
+    turn = np.lexsort((runs.start, runs.place))
+    code: dict[bytes, int] = {}
+    of = np.zeros(len(runs.raw), np.int64)  # each run's number among the different ones
+    of[turn] = [code.setdefault(runs.raw[i], len(code)) for i in turn.tolist()]
+    first = np.zeros(len(code), np.int64)
+    first[of[turn[::-1]]] = turn[::-1]
+    again = np.ones(len(of), bool)
+    again[first] = False
+    texts = list(code)
+    by = np.argsort(runs.anchor[first], kind="stable")
+    anchor, first = runs.anchor[first][by], first[by]
+    raw = b"".join([texts[i] for i in by.tolist()])
+    length = np.fromiter(map(len, texts), np.int64, len(texts))[by]
+    data = np.frombuffer(raw + bytes(8), np.uint8)
     begin = np.cumsum(length) - length
-    values = BYTE_VALUE[flat] if flat.dtype == np.uint8 else flat
-    roll = Rolling(values)
-    after = begin + a + kind.gram
-    right = roll.slices(after, np.maximum(begin + length, after))
-    _, code = np.unique(np.concatenate([h, right]), return_inverse=True)
-    text = np.full(3 * len(h) + 1, 1, np.int64)
-    text[0:-1:3], text[1:-1:3], text[-1] = code[: len(h)] + 2, code[len(h) :] + 2, 0
-    suffixes = np.array(suffix_array(text.tolist()))
-    sorted_runs = suffixes[(suffixes % 3 == 0) & (suffixes < len(text) - 1)] // 3
-    anchor = h[sorted_runs]
-    interval = np.zeros(len(h), np.int64)
-    interval[sorted_runs] = np.cumsum(np.concatenate([[False], anchor[1:] != anchor[:-1]]))
-    # runs of an interval in the order of the corpus, then windows in the order of their runs
-    turn = np.lexsort((lo, x, d, interval))
-    run = np.repeat(turn, windows[turn])
-    shift = ranges(np.zeros(len(turn), np.int64), windows[turn])
-    at = begin[run] + shift
-    value = roll.slices(at, at + kind.window)
-    by = np.argsort(value, kind="stable")
-    same = np.concatenate([[False], (value[by][1:] == value[by][:-1]) & (interval[run[by]][1:] == interval[run[by]][:-1])])
-    repeated = np.zeros(len(run), bool)
-    repeated[by] = same
-    return run, lo[run].astype(np.int64) + shift, value, repeated
+    # symbols: a mark (1) before each run, bytes from 2 on, and the least symbol (0) at the end of each anchor's text
+    new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+    text_of = np.cumsum(new) - 1
+    lead = begin + np.arange(len(length)) + text_of + 1  # the first byte's place in the symbols
+    sizes = np.bincount(text_of, length + 1).astype(np.int64) + 1
+    symbols = np.ones(int(sizes.sum()), np.int16)
+    symbols[np.cumsum(sizes) - 1] = 0
+    place = ranges(lead, length)
+    symbols[place] = data[: len(place)].astype(np.int16) + 2
+    run_at = np.full(len(symbols), -1, np.int32)  # of places where a window begins: its run
+    windows = runs.windows[first]
+    starts = ranges(lead, windows)
+    run_at[starts] = np.repeat(np.arange(len(first)), windows)
+    order = sorted_suffixes(symbols, sizes)
+    order = order[run_at[order] >= 0]
+    run = run_at[order]
+    byte = begin[run] + (order - lead[run])
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    same = text_of[run[1:]] == text_of[run[:-1]]
+    for k in [*range(0, w - 7, 8), w - 8]:
+        left = np.flatnonzero(same)
+        same[left[words[byte[left] + k] != words[byte[left + 1] + k]]] = False
+    key = (runs.place[first][run] << 32) + runs.start[first][run] + (order - lead[run])
+    head = np.flatnonzero(np.concatenate([[True], ~same]))
+    repeated = key > np.repeat(np.minimum.reduceat(key, head), np.diff(np.concatenate([head, [len(key)]]))) if len(key) else np.zeros(0, bool)
+    r = np.flatnonzero(again)
+    own, at = first[run[repeated]], key[repeated] & 0xFFFFFFFF
+    return np.concatenate([r, own]), np.concatenate([runs.start[r], at]), np.concatenate([runs.start[r] + runs.windows[r] - 1, at])
 
 
 def cut_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -147,7 +304,7 @@ def cut_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, **options: int) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans and the SHA-256 of what is left once every byte is removed that a
     100-byte string covers which also starts earlier.
 
@@ -164,7 +321,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         got["doc_id"] = got["doc_id"].astype("Int64")
         return got
 
-    return repeated_spans(docs.select("doc_id", "text"), BYTES, resolve_by_suffixes, finish, SCHEMA)
+    return repeated_spans(docs.select("doc_id", "text"), BYTES, resolve_by_suffixes, finish, SCHEMA, **options)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -2,19 +2,20 @@
 
 A symbol is a byte or a word. Every window has one anchor, the least hash among its k-grams (the last of equal ones),
 so equal windows have equal anchors in equal places. Windows of a document with the same anchor are a run of
-consecutive starts. The corpus is never shuffled window by window:
-
-1. runs: each batch of documents sends, per bucket of anchor hashes, packed arrays of its runs (anchor, hash of the
-   run's whole content, document, place). Equal runs within a batch are settled there, before the shuffle.
-2. a bucket settles equal runs of different batches: all but the first are repeats. Anchors left with two or more
-   different runs need symbols: requests go to the documents.
-3. documents answer with the runs' symbols, sent to blocks of anchors. An anchor with more than HOT runs is salted
-   over many blocks.
-4. a block finds each window's first start with the operator's own method (a suffix array or a factorisation).
-5. what a salted anchor's blocks left as first is settled by window hash.
-6. documents gather their repeated spans.
-
-A document's place in the order is (doc_id, hash of its text): equal rows count as one document, null ids come last.
+consecutive starts. Hashes of anchors only decide where runs meet; which windows are equal is found from the runs'
+own symbols, by the operator's method (`resolve`). The corpus is never shuffled window by window:
+
+1. runs: each batch of documents sends, per bucket of anchor hashes, packed arrays of its runs (anchor, document,
+   place). An anchor with over BATCH_HOT runs in a batch is resolved there first, and only windows that the batch
+   has no earlier start of are sent on: a passage of very many documents is aggregated before the shuffle.
+2. a bucket keeps the runs whose anchor stands in two places or more, and requests their symbols.
+3. documents answer with the runs' bytes, sent to blocks of anchors. An anchor with more than HOT runs is salted: its
+   windows are dealt by their second least hash too, which equal windows share.
+4. a block resolves its runs.
+5. documents gather their repeated spans.
+
+A document's place in the order is (doc_id, 64-bit hash of its text): equal rows count as one document, null ids come
+last.
 """
 
 from __future__ import annotations
@@ -24,20 +25,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BYTE_VALUE, Rolling, chunks, let_go, mix, words_of
 
-HOT = 4096
+HOT, BATCH_HOT = 1024, 64
 NULL_ID = np.iinfo(np.int64).max
 MESSAGE = "bucket int, kind int, data binary"
-RUNS, SPANS, WANTED, SYMBOLS, FIRSTS = range(5)
+RUNS, SPANS, WANTED, SYMBOLS = range(4)
 FIELDS: dict[int, str] = {
-    RUNS: "u8 u8 i8 u4 u4 u1 u1",  # anchor, content, document, text hash, first start, anchor's offset, windows - 1
-    SPANS: "i8 u4 u4 u4",  # document, text hash, start, end
-    WANTED: "u8 i8 u4 u4 u1 u1 u1",  # anchor, document, text hash, first start, offset, windows - 1, salted
-    FIRSTS: "u8 i8 u4 u4",  # window, document, text hash, start
+    RUNS: "u8 i8 i8 u4 u1 u1",  # anchor, document, text hash, first start, anchor's offset, windows - 1
+    SPANS: "i8 i8 u4 u4",  # document, text hash, start, end
+    WANTED: "u8 i8 i8 u4 u1 u1 u1",  # anchor, document, text hash, first start, offset, windows - 1, salted
 }
 
 
@@ -51,18 +52,29 @@ class Kind:
 
     def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Hashed symbols of all texts in a row and each text's number of them."""
+        return self.places(texts)[:2]
+
+    def places(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same, and the bytes where each symbol begins and ends, counted over the texts in a row."""
         if self.name == "bytes":
-            return BYTE_VALUE[np.frombuffer(b"".join(texts), np.uint8)], np.fromiter(map(len, texts), np.int64, len(texts))
-        value, text, _, _ = words_of(texts)
-        return value, np.bincount(text, minlength=len(texts))
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            at = np.arange(len(data))
+            return BYTE_VALUE[data], np.fromiter(map(len, texts), np.int64, len(texts)), at, at + 1
+        value, text, start, end = words_of(texts)
+        base = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])[text]
+        return value, np.bincount(text, minlength=len(texts)), start + base, end + base
+
 
+#: What a block gets of each run: anchor, document, text hash, first start, windows - 1, bytes.
+SENT = ("u8", "i8", "i8", "u4", "u1", "u4")
 
 BYTES = Kind("bytes", 100, 24)
 WORDS = Kind("words", 20, 8)
 
 
 def packed(kind: int, columns: list[np.ndarray]) -> bytes:
-    return b"".join(np.ascontiguousarray(c.astype(t, copy=False)).tobytes() for c, t in zip(columns, FIELDS[kind].split()))
+    raw = b"".join(np.ascontiguousarray(c.astype(t, copy=False)).tobytes() for c, t in zip(columns, FIELDS[kind].split()))
+    return zstandard.compress(raw, 1)
 
 
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -76,7 +88,7 @@ def unpacked(kind: int, blobs: list[bytes]) -> list[np.ndarray]:
     types = [np.dtype(t) for t in FIELDS[kind].split()]
     width = sum(t.itemsize for t in types)
     parts: list[list[np.ndarray]] = [[] for _ in types]
-    for b in blobs:
+    for b in map(zstandard.decompress, blobs):
         n, at = len(b) // width, 0
         for t, p in zip(types, parts):
             p.append(np.frombuffer(b, t, n, at))
@@ -104,7 +116,7 @@ PRIME, FACTOR = 2147483629, 1103515245
 
 def bucket_of(doc: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     """By id and text hash, so that rows of one id, or without one, with different texts are dealt over the buckets."""
-    return (((doc.astype(np.int64) % PRIME + text.astype(np.int64)) % PRIME * FACTOR >> 12) % n).astype(np.int32)
+    return (((doc.astype(np.int64) % PRIME + text.astype(np.int64) % PRIME) % PRIME * FACTOR >> 12) % n).astype(np.int32)
 
 
 def joined_spans(doc: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
@@ -125,10 +137,10 @@ def joined_spans(doc: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.n
 
 def runs_of(symbols: np.ndarray, sizes: np.ndarray, kind: Kind) -> tuple[np.ndarray, ...]:
     """Runs of the texts whose symbols stand in a row: (text index, first start, anchor, last start) with places
-    counted from the start of the text, anchor hash, content hash."""
+    counted from the start of the text, anchor hash."""
     w, k = kind.window, kind.gram
     n = len(symbols)
-    none = tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),) * 2
+    none = tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
     if n < w:
         return none
     roll = Rolling(symbols)
@@ -155,146 +167,200 @@ def runs_of(symbols: np.ndarray, sizes: np.ndarray, kind: Kind) -> tuple[np.ndar
     last = np.concatenate([first[1:], [total]]) - 1
     lo, hi, a, text = at[first], at[last], anchor[first], text[first]
     b = begins[text]
-    return text, lo - b, a - b, hi - b, gram[a], roll.slices(lo, hi + w)
-
-
-def first_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, first): rows sorted by the keys, and whether each sorted row begins a new value of keys[0]."""
-    order = np.lexsort(keys[::-1])
-    k = keys[0][order]
-    return order, np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
+    return text, lo - b, a - b, hi - b, gram[a]
+
+
+def by_second(gram: np.ndarray, lo: np.ndarray, a: np.ndarray, m: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs cut where their windows' second least k-gram hash changes: (run, first start, windows - 1, that hash). Places
+    are indexes of gram; a window covers `span` k-grams."""
+    none, parts = np.uint64(2**64 - 1), []
+    step = np.arange(1, span)
+    for k in range(0, len(lo), 4096):
+        at, first, more = a[k : k + 4096], lo[k : k + 4096], m[k : k + 4096].astype(np.int64)
+        left, right = at[:, None] - step, at[:, None] + step
+        left = np.minimum.accumulate(np.where(left >= first[:, None], gram[np.maximum(left, 0)], none), axis=1)
+        right = np.minimum.accumulate(np.where(right < (first + more + span)[:, None], gram[np.minimum(right, len(gram) - 1)], none), axis=1)
+        run = np.repeat(np.arange(len(at)), more + 1)
+        start = ranges(first, more + 1)
+        back = at[run] - start
+        least = np.minimum(np.where(back > 0, left[run, np.maximum(back - 1, 0)], none), np.where(back < span - 1, right[run, np.maximum(span - 2 - back, 0)], none))
+        new = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (least[1:] != least[:-1])]))
+        parts.append((run[new] + k, start[new], np.diff(np.concatenate([new, [len(run)]])) - 1, least[new]))
+    return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def _texts(batch: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     texts = [t.encode() if isinstance(t, str) else b"" for t in batch["text"]]
     doc = batch["doc_id"].astype("Int64").fillna(NULL_ID).to_numpy(np.int64)
-    return texts, doc, batch["th"].to_numpy(np.int64).astype(np.uint32)
+    return texts, doc, batch["th"].to_numpy(np.int64)
+
+
+@dataclass
+class Runs:
+    """Runs that meet in a block: what a resolver gets. `place` is each run's document's rank in the order of the
+    corpus, `raw` its bytes."""
+
+    anchor: np.ndarray
+    place: np.ndarray
+    start: np.ndarray
+    windows: np.ndarray
+    raw: list[bytes]
+
 
+#: (run, first start, last start) of windows that also start earlier, in any order; ranges may go beyond the run that
+#: they are given by, within its document.
+Resolver = Callable[[Runs, Kind], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
-Resolver = Callable[[list[np.ndarray], list[np.ndarray], Kind], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
+def ranked(doc: np.ndarray, text: np.ndarray) -> np.ndarray:
+    order = np.lexsort((text, doc))
+    new = np.concatenate([[False], (doc[order][1:] != doc[order][:-1]) | (text[order][1:] != text[order][:-1])])
+    rank = np.zeros(len(doc), np.int64)
+    rank[order] = np.cumsum(new)
+    return rank
 
-def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Callable, schema: str, bucket_bytes: int = 4_000_000) -> DataFrame:
-    """docs (doc_id, text, any columns to keep) through finish(row frame, {(doc, text hash): spans}), per bucket of documents.
 
-    resolve gets a block's wanted runs and their symbols and returns, for all their windows in turn, (run, start,
-    window hash, repeated)."""
+def _resolved(resolve: Resolver, kind: Kind, h, d, x, lo, m, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return resolve(Runs(h, ranked(d, x), lo.astype(np.int64), m.astype(np.int64) + 1, raw), kind)
+
+
+def _left(place: np.ndarray, lo: np.ndarray, m: np.ndarray, gone: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, first start, windows - 1) of what is left of runs without the starts s..e of the places `gone`."""
+    count = m.astype(np.int64) + 1
+    run, start = np.repeat(np.arange(len(lo)), count), ranges(lo, count)
+    out = np.isin((place[run] << 32) + start, (np.repeat(gone, e - s + 1) << 32) + ranges(s, e - s + 1))
+    run, start = run[~out], start[~out]
+    new = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (start[1:] != start[:-1] + 1)])) if len(run) else np.zeros(0, np.int64)
+    return run[new], start[new], np.diff(np.concatenate([new, [len(run)]])) - 1
+
+
+def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Callable, schema: str, bucket_bytes: int = 8_000_000, hot: int = HOT, batch_hot: int = BATCH_HOT) -> DataFrame:
+    """docs (doc_id, text, any columns to keep) through finish(row frame, spans of each row), per bucket of documents."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(8, int(total // bucket_bytes))
-    w = kind.window
-    rows = docs.withColumn("th", F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)))
+    w, span = kind.window, kind.window - kind.gram + 1
+    rows = docs.withColumn("th", F.xxhash64("text"))
+
+    def spans_of(d, x, s, e) -> Iterator[tuple[int, int, bytes]]:
+        spans = joined_spans(d, x, s, e)
+        return split_by(bucket_of(spans[0], spans[1], n), SPANS, spans)
+
+    def runs_in(texts: list[bytes], doc: np.ndarray, th: np.ndarray) -> pd.DataFrame:
+        found, parts = [], []
+        for i, j in chunks(texts, 2_000_000):
+            t, lo, a, hi, h = runs_of(*kind.symbols(texts[i:j]), kind)
+            found.append((h, t + i, lo, a - lo, hi - lo))
+        h, t, lo, a, m = (np.concatenate(p) for p in zip(*found))
+        d, x = doc[t], th[t]
+        order = np.argsort(h, kind="stable")
+        new = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])) if len(h) else np.zeros(0, np.int64)
+        many = np.diff(np.concatenate([new, [len(h)]])) > batch_hot
+        if many.any():  # frequent anchors: resolved here, so that only windows new to this batch are sent
+            often = order[np.repeat(many, np.diff(np.concatenate([new, [len(h)]])))]
+            _, one = np.unique(np.stack([d[often].view(np.uint64), x[often].view(np.uint64), lo[often].astype(np.uint64)]), axis=1, return_index=True)
+            often = often[np.sort(one)]  # equal rows are one document
+            often = often[np.argsort(t[often], kind="stable")]
+            raw: list[bytes] = []
+            for i in np.unique(t[often]):
+                own = often[np.searchsorted(t[often], i) : np.searchsorted(t[often], i, side="right")]
+                _, _, begin, end = kind.places([texts[i]])
+                raw += [texts[i][p:q] for p, q in zip(begin[lo[own]].tolist(), end[lo[own] + m[own] + w - 1].tolist())]
+            run, s, e = _resolved(resolve, kind, h[often], d[often], x[often], lo[often], m[often], raw)
+            parts += spans_of(d[often][run], x[often][run], s, e + w)
+            place = ranked(d[often], x[often])
+            r, start, more = _left(place, lo[often], m[often], place[run], s, e)
+            rest = np.ones(len(h), bool)
+            rest[order[np.repeat(many, np.diff(np.concatenate([new, [len(h)]])))]] = False
+            o = often[r]
+            h, d, x, a = (np.concatenate([v[rest], v[o]]) for v in (h, d, x, a + lo))
+            lo, m = np.concatenate([lo[rest], start]), np.concatenate([m[rest], more])
+            a = a - lo
+        return frame([*parts, *split_by((h % np.uint64(n)).astype(np.int32), RUNS, [h, d, x, lo, a, m])])
 
     def find_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         let_go()
+        held: list[tuple] = []
         for batch in batches:
             texts, doc, th = _texts(batch)
-            found: list[tuple] = []
-            for i, j in chunks(texts, 2_000_000):
-                t, lo, a, hi, h, c = runs_of(*kind.symbols(texts[i:j]), kind)
-                found.append((h, c, doc[i:j][t], th[i:j][t], lo, a - lo, hi - lo))
-            if not found:
-                continue
-            h, c, d, x, lo, a, m = (np.concatenate(p) for p in zip(*found))
-            order, first = first_of(c, d, x, lo)
-            again = order[~first]
-            # equal rows are one document: the same place again is no repeat
-            head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))][~first]
-            again = again[(d[again] != d[head]) | (x[again] != x[head]) | (lo[again] != lo[head])]
-            spans = joined_spans(d[again], x[again], lo[again], lo[again] + m[again] + w)
-            keep = np.sort(order[first])
-            yield frame(
-                [
-                    *split_by((h[keep] % np.uint64(n)).astype(np.int32), RUNS, [v[keep] for v in (h, c, d, x, lo, a, m)]),
-                    *split_by(bucket_of(spans[0], spans[1], n), SPANS, spans),
-                ]
-            )
+            for i, j in chunks(texts, 16_000_000):
+                held.append((texts[i:j], doc[i:j], th[i:j]))
+                if sum(len(t) for own, _, _ in held for t in own) > 8_000_000:
+                    yield runs_in([t for own, _, _ in held for t in own], *(np.concatenate(c) for c in list(zip(*held))[1:]))
+                    held = []
+        if held:
+            yield runs_in([t for own, _, _ in held for t in own], *(np.concatenate(c) for c in list(zip(*held))[1:]))
 
     def blobs(part: pd.DataFrame, kind: int) -> list[bytes]:
         return list(part["data"][part["kind"] == kind])
 
     def settle_runs(part: pd.DataFrame) -> pd.DataFrame:
-        h, c, d, x, lo, a, m = unpacked(RUNS, blobs(part, RUNS))
-        order, first = first_of(c, d, x, lo)
-        head = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-        rest, head = order[~first], head[~first]
-        differs = (d[rest] != d[head]) | (x[rest] != x[head]) | (lo[rest] != lo[head])
-        rest = rest[differs]
-        again = joined_spans(d[rest], x[rest], lo[rest], lo[rest].astype(np.int64) + m[rest] + w)
-        keep = order[first]
-        _, inverse, count = np.unique(h[keep], return_inverse=True, return_counts=True)
-        many = count[inverse] > 1
-        keep, size = keep[many], count[inverse][many]
-        want = [h[keep], d[keep], x[keep], lo[keep], a[keep], m[keep], (size > HOT).astype(np.uint8)]
+        h, d, x, lo, a, m = unpacked(RUNS, blobs(part, RUNS))
+        order = np.lexsort((lo, x, d, h))
+        h, d, x, lo, a, m = (v[order] for v in (h, d, x, lo, a, m))
+        if len(h):  # equal rows are one document
+            new = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (x[1:] != x[:-1]) | (lo[1:] != lo[:-1])])
+            h, d, x, lo, a, m = (v[new] for v in (h, d, x, lo, a, m))
+        _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+        size = count[inverse]
+        many = size > 1  # within one run no two windows are equal: their anchor has different places in them
+        want = [v[many] for v in (h, d, x, lo, a, m)] + [(size[many] > hot).astype(np.uint8)]
         passed = unpacked(SPANS, blobs(part, SPANS))
-        spans = [np.concatenate([p, q]) for p, q in zip(again, passed)]
-        return frame([*split_by(bucket_of(want[1], want[2], n), WANTED, want), *split_by(bucket_of(spans[0], spans[1], n), SPANS, spans)])
+        return frame([*split_by(bucket_of(want[1], want[2], n), WANTED, want), *spans_of(*passed)])
 
     def answer(texts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        spans = unpacked(SPANS, blobs(part, SPANS))
-        out = list(split_by(bucket_of(spans[0], spans[1], n), SPANS, spans))
+        out = list(spans_of(*unpacked(SPANS, blobs(part, SPANS))))
         h, d, x, lo, a, m, salted = unpacked(WANTED, blobs(part, WANTED))
         if not len(h):
             return frame(out)
         raw, doc, th = _texts(texts)
         place = {key: i for i, key in enumerate(zip(doc.tolist(), th.tolist()))}
         at = np.fromiter((place[key] for key in zip(d.tolist(), x.tolist())), np.int64, len(d))
-        block = mix(h)
-        # a salted anchor's runs go to blocks by document
-        block = np.where(salted > 0, mix(block ^ mix(d.astype(np.uint64))), block) % np.uint64(n)
         order = np.lexsort((lo, at))
+        h, d, x, lo, a, m, salted, at = (v[order] for v in (h, d, x, lo.astype(np.int64), a.astype(np.int64), m, salted, at))
         asked = np.unique(at)
-        values: list[np.ndarray] = []
-        for i, j in chunks([raw[k] for k in asked], 2_000_000):
+        for i, j in chunks([raw[k] for k in asked], 4_000_000):
             own = [raw[k] for k in asked[i:j]]
-            sym, sizes = (np.frombuffer(b"".join(own), np.uint8), np.fromiter(map(len, own), np.int64, len(own))) if kind.name == "bytes" else kind.symbols(own)
-            begin = np.cumsum(sizes) - sizes
-            mine = order[(at[order] >= asked[i]) & (at[order] <= asked[j - 1])]
-            start = begin[np.searchsorted(asked[i:j], at[mine])] + lo[mine]
-            values.append(sym[ranges(start, m[mine].astype(np.int64) + w)])
-        flat = np.concatenate(values)
-        lengths = m[order].astype(np.int64) + w
-        begin = np.cumsum(lengths) - lengths
-        by = np.argsort(block[order], kind="stable")
-        b = block[order][by].astype(np.int64)
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(b)) + 1, [len(b)]])
-        for s, e in zip(cuts[:-1], cuts[1:]):
-            own = by[s:e]
-            head = packed(WANTED, [v[order][own] for v in (h, d, x, lo, a, m, salted)])
-            out.append((int(b[s]), SYMBOLS, len(own).to_bytes(8, "little") + head + flat[ranges(begin[own], lengths[own])].tobytes()))
+            value, sizes, begin, end = kind.places(own)
+            mine = slice(np.searchsorted(at, asked[i]), np.searchsorted(at, asked[j - 1], side="right"))
+            base = (np.cumsum(sizes) - sizes)[np.searchsorted(asked[i:j], at[mine])]
+            hh, dd, xx, ll, aa, mm, ss = (v[mine] for v in (h, d, x, lo, a, m, salted))
+            key = mix(hh)
+            if ss.any():
+                hot_ones, cold = np.flatnonzero(ss), np.flatnonzero(ss == 0)
+                first = base[hot_ones] + ll[hot_ones]
+                run, start, more, second = by_second(Rolling(value).grams(kind.gram), first, first + aa[hot_ones], mm[hot_ones], span)
+                run = hot_ones[run]
+                key = np.concatenate([key[cold], mix(key[run] ^ second)])
+                ll, mm = np.concatenate([ll[cold], start - base[run]]), np.concatenate([mm[cold], more])
+                hh, dd, xx, base = (np.concatenate([v[cold], v[run]]) for v in (hh, dd, xx, base))
+            data = b"".join(own)
+            p, q = begin[base + ll], end[base + ll + mm + w - 1]
+            block = (key % np.uint64(n)).astype(np.int64)
+            by = np.argsort(block, kind="stable")
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(block[by])) + 1, [len(by)]])
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                r = by[s:e]
+                lead = b"".join(np.ascontiguousarray(v[r].astype(t)).tobytes() for v, t in zip((hh, dd, xx, ll, mm, q - p), SENT))
+                body = b"".join([data[u:v] for u, v in zip(p[r].tolist(), q[r].tolist())])
+                out.append((int(block[by[s]]), SYMBOLS, zstandard.compress(len(r).to_bytes(8, "little") + lead + body, 1)))
         return frame(out)
 
-    item = np.dtype("u1" if kind.name == "bytes" else "u8")
-    head_width = sum(np.dtype(t).itemsize for t in FIELDS[WANTED].split())
-
     def settle_block(part: pd.DataFrame) -> pd.DataFrame:
         spans = unpacked(SPANS, blobs(part, SPANS))
-        firsts: list = []
-        heads, symbols = [], []
-        for b in blobs(part, SYMBOLS):
-            k = int.from_bytes(b[:8], "little")
-            heads.append(b[8 : 8 + k * head_width])
-            symbols.append(np.frombuffer(b, item, offset=8 + k * head_width))
-        if heads:
-            want = unpacked(WANTED, heads)
-            _, d, x, _, _, _, salted = want
-            run, start, value, repeated = resolve(want, symbols, kind)
-            r, s = run[repeated], start[repeated]
-            own = joined_spans(d[r], x[r], s, s + w)
-            spans = [np.concatenate([p, q]) for p, q in zip(spans, own)]
-            left = ~repeated & (salted[run] > 0)
-            r = run[left]
-            firsts = list(split_by((value[left] % np.uint64(n)).astype(np.int32), FIRSTS, [value[left], d[r], x[r], start[left]]))
-        return frame([*split_by(bucket_of(spans[0], spans[1], n), SPANS, spans), *firsts])
-
-    def settle_firsts(part: pd.DataFrame) -> pd.DataFrame:
-        spans = unpacked(SPANS, blobs(part, SPANS))
-        v, d, x, s = unpacked(FIRSTS, blobs(part, FIRSTS))
-        if len(v):
-            order, first = first_of(v, d, x, s)
-            r = order[~first]
-            own = joined_spans(d[r], x[r], s[r], s[r].astype(np.int64) + w)
-            spans = [np.concatenate([p, q]) for p, q in zip(spans, own)]
-        return frame(split_by(bucket_of(spans[0], spans[1], n), SPANS, spans))
+        columns: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in SENT]
+        raw: list[bytes] = []
+        for b in map(zstandard.decompress, blobs(part, SYMBOLS)):
+            k, at = int.from_bytes(b[:8], "little"), 8
+            for c, t in zip(columns, SENT):
+                c.append(np.frombuffer(b, t, k, at))
+                at += k * np.dtype(t).itemsize
+            stops = (at + np.cumsum(columns[-1][-1], dtype=np.int64)).tolist()
+            raw += [b[u:v] for u, v in zip([at, *stops], stops)]
+        if raw:
+            h, d, x, lo, m, _ = (np.concatenate(c) for c in columns)
+            run, s, e = _resolved(resolve, kind, h, d, x, lo, m, raw)
+            spans = [np.concatenate([p, q.astype(p.dtype)]) for p, q in zip(spans, joined_spans(d[run], x[run], s, e + w))]
+        return frame(spans_of(*spans))
 
     def gather(texts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         d, x, s, e = joined_spans(*unpacked(SPANS, blobs(part, SPANS)))
@@ -308,10 +374,10 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
     found = rows.select("doc_id", "text", "th").mapInPandas(find_runs, MESSAGE)
     wanted = found.groupBy("bucket").applyInPandas(settle_runs, MESSAGE)
     sent = texts.cogroup(wanted.groupBy("bucket")).applyInPandas(answer, MESSAGE)
-    settled = sent.groupBy("bucket").applyInPandas(settle_block, MESSAGE).groupBy("bucket").applyInPandas(settle_firsts, MESSAGE)
+    settled = sent.groupBy("bucket").applyInPandas(settle_block, MESSAGE)
     return texts.cogroup(settled.groupBy("bucket")).applyInPandas(gather, schema)
 
 
 def document_bucket(doc, text, n: int):
     """bucket_of as a column expression."""
-    return F.pmod(F.shiftright(F.pmod(F.pmod(doc, F.lit(PRIME)) + text, F.lit(PRIME)) * F.lit(FACTOR), 12), F.lit(n)).cast("int")
+    return F.pmod(F.shiftright(F.pmod(F.pmod(doc, F.lit(PRIME)) + F.pmod(text, F.lit(PRIME)), F.lit(PRIME)) * F.lit(FACTOR), 12), F.lit(n)).cast("int")
