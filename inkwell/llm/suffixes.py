@@ -103,7 +103,7 @@ def suffix_array(text: list[int]) -> list[int]:
 def suffix_arrays(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """suffix_array of many texts at once, whose symbols stand in a row: the places of each text's sorted suffixes,
     counted over the row. All texts take the same step at a time: in the first phase their next lower group, in the
-    second one pointer or one emitted suffix, so that numpy works on as many elements as there are texts."""
+    second their next emitted suffix, so that numpy works on as many elements as there are texts."""
     n, m = sizes.astype(np.int64), len(sizes)
     begin = np.cumsum(n + 1) - n  # a pad before each text ends the pointers' chains
     total = int(n.sum()) + m
@@ -152,40 +152,52 @@ def suffix_arrays(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         order[p], order[e] = other, t
         place[other], place[t] = p, e
 
+    def follow(j: np.ndarray, g: np.ndarray) -> None:
+        """From each j, along the pointers known so far, to a group that isn't above g."""
+        high = np.flatnonzero(start[j] > g)
+        while len(high):
+            to = before[j[high]]
+            j[high] = to
+            high = high[start[to] > g[high]]
+
     end, low = begin + n - 1, begin
     while len(end):
-        g = start[order[end]]
-        count = end - g + 1
-        if (count == 1).all():
-            i, own = order[end], g
-        else:
-            own = np.repeat(g, count)
-            i = order[np.arange(len(own)) + np.repeat(g - (np.cumsum(count) - count), count)]
-        j = i - 1
-        high = np.flatnonzero(start[j] > own)
-        while len(high):
-            j[high] = before[j[high]]
-            high = high[start[j[high]] > own[high]]
-        before[i] = j
-        if own is g:
-            t = j[start[j] >= 0]
-            h = start[t]
-            more = size[h] > 1
-            t, h = t[more], h[more]
-            if len(t):
-                swap(t, h)
-                e = h + size[h]
-                start[t] = e
-                size[e] = 1
+        i = order[end]
+        g = start[i]
+        alone = g == end
+        if alone.all():
+            one, h = i, g
         else:
+            one, h = i[alone], g[alone]
+            many, count = g[~alone], (end - g)[~alone] + 1
+            own = np.repeat(many, count)
+            i = order[ranges(many, count)]
+            j = i - 1
+            follow(j, own)
+            before[i] = j
             same = np.flatnonzero(start[j] == own)
-            while len(same):
+            while len(same):  # a pointer to a member of the group leads on to what that one points to
                 j[same] = before[j[same]]
                 before[i[same]] = j[same]
                 same = same[start[j[same]] == own[same]]
-            t, c = np.unique(j[start[j] >= 0], return_counts=True)
-            for level in np.unique(c)[::-1]:
-                lift(t[c == level])
+            t = np.sort(j[start[j] >= 0])
+            if len(t):
+                head = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+                c, t = np.diff(np.concatenate([head, [len(t)]])), t[head]
+                for level in range(int(c.max()), 0, -1):
+                    if (at_level := c == level).any():
+                        lift(t[at_level])
+        if len(one):
+            j = one - 1
+            follow(j, h)
+            before[one] = j
+            h = start[j]
+            some = np.flatnonzero((h >= 0) & (size[h] > 1))
+            if len(some):
+                t, h = j[some], h[some]
+                swap(t, h)
+                e = h + size[h]
+                start[t], size[e] = e, 1
         end = g - 1
         if (end < low).any():
             keep = end >= low
@@ -198,27 +210,26 @@ def suffix_arrays(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     out[k] = stop - 1
     done[stop - 1] = True
     nxt[begin] += 1
-    j = out[k] - 1
     while len(k):
-        idle = done[j]
-        go = ~idle
-        i = j[go]
-        g = start[i]
-        out[nxt[g]] = i
-        nxt[g] += 1
-        done[i] = True
-        j[go] = before[i]
-        k += idle
-        over = k >= stop
-        if over.any():
-            keep = ~over
-            k, stop, j, idle = k[keep], stop[keep], j[keep], idle[keep]
-        j = np.where(idle, out[k] - 1, j) if len(k) else j
+        j = out[k] - 1
+        j = j[~done[j]]
+        while len(j):
+            g = start[j]
+            to = nxt[g]
+            out[to] = j
+            nxt[g] = to + 1
+            done[j] = True
+            j = before[j]
+            j = j[~done[j]]
+        k = k + 1
+        if (k >= stop).any():
+            keep = k < stop
+            k, stop = k[keep], stop[keep]
     return out[at] - np.repeat(np.arange(1, m + 1), n)
 
 
-#: A text of more symbols is sorted alone; shorter ones together, in batches that stay in the cache.
-LONG, TOGETHER = 20_000, 1 << 18
+#: A text of more than LONG symbols is sorted alone; shorter ones together, about TOGETHER symbols at a time, if that makes FEW texts or more.
+LONG, TOGETHER, FEW = 20_000, 1 << 20, 200
 
 
 def sorted_suffixes(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -232,10 +243,12 @@ def sorted_suffixes(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     while at < short:
         to = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + TOGETHER, side="right")))
         own = by[at:to]
+        if to - at < FEW:
+            break
         where = ranges(begin[own], sizes[own])
         out[where] = where[suffix_arrays(symbols[where].astype(np.int64), sizes[own])]
         at = to
-    for k in by[short:]:
+    for k in by[at:]:
         s = slice(begin[k], begin[k] + sizes[k])
         out[s] = np.array(suffix_array(symbols[s].tolist())) + begin[k]
     return out
