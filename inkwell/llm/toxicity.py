@@ -1,6 +1,6 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Terms are lower-cased words and their first four to six bytes. The index holds every term of a bounded sample of
+Terms are lower-cased words and their first five bytes. The index holds every term of a bounded sample of
 labelled rows. Everything else covers all data: document frequencies of those terms count all documents, and every
 document is scored by its whole text. A term's weight grows with how surely the examples of the two labels differ in
 it (`_telling`); none is dropped, so that an equal text is always found with cosine 1.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import BYTE_VALUE, Rolling, chunks, crc_fold, cut, mix
 
-PREFIXES = (4, 5, 6)
+PREFIXES = (5,)
 SCHEMA = (
     "doc_id bigint, held_out boolean, score double, predicted int, n_terms int, "
     "evidence array<struct<doc_id:bigint,toxic:int,cosine:double>>"
@@ -307,17 +307,19 @@ def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, examples: int = 4000, k: int = 15) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, examples: int = 2000, k: int = 15) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, n_terms, evidence (the nearest examples).
 
     Fitted on at most `examples` labelled rows of each label (documented bound; seeded draw among ids with
-    crc32 mod 5 != 0; several labels of one id count as the largest). Only the text is read for a score. A null or
+    crc32 mod 5 != 0; several labels of one id count as the largest, of several texts the one of the least hash is
+    taken). Only the text is read for a score. A null or
     empty text, or one without a term of any example, gets the score of examples without any, and no evidence;
     without any labelled row every score is 0. Repeated rows are scored alike; a null doc_id stays null. An empty
     table gives an empty result; other columns are not read."""
     drawn, total, have = _drawn(labels, examples)
-    # bounded by 2 * examples rows
-    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic")
+    # one text a drawn id, so 2 * examples rows at most, however often an id is repeated
+    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic")
+    sample = sample.agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("doc_id", "x.text", "toxic")
     chosen = sample.mapInPandas(_hashed, "doc_id bigint, toxic int, terms binary, counts binary").collect()
     words = Vocabulary(np.frombuffer(b"".join(r["terms"] for r in chosen), "<u8"))
     held = [(r["doc_id"], r["toxic"], words.find(np.frombuffer(r["terms"], "<u8")).astype(np.int32), np.frombuffer(r["counts"], "<u4")) for r in chosen]
