@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -54,7 +54,7 @@ def _fold() -> np.ndarray:
     """Code point to lower-case letter, or to a blank."""
     if not _letter.any():
         _letter[:] = 32
-        for c in range(0x30000):
+        for c in range(0x110000):
             s = chr(c)
             if s.isalpha():
                 low = s.lower()
@@ -119,36 +119,33 @@ class LanguageModel:
 
 
 def fit_language(docs: DataFrame, sample: int = 3000) -> LanguageModel | None:
-    """A model from about `sample` rows (a documented bound, spread evenly over at most 200 languages, drawn by a
-    seeded hash of the id) with crc32(doc_id) mod 5 != 0, a language and a text with letters; None if there is none."""
+    """A model from about `sample` rows (a documented bound, spread evenly over all languages, one row of each at
+    least, drawn by a seeded hash of id and text) with crc32(doc_id) mod 5 != 0, a language and a text with letters;
+    None if there is none."""
     rows = docs.filter((crc_fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()
+    counts = rows.groupBy("lang").count().collect()  # a row for each language
     if not counts:
         return None
     each = max(1, sample // len(counts))
-    # the draw takes half as many again, and what is too much is cut off here: one pass, no sort of the table
-    rates = docs.sparkSession.createDataFrame([(r["lang"], 1.5 * each / r["count"]) for r in counts], "lang string, rate double")
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / F.lit(1 << 30)
-    drawn = rows.join(F.broadcast(rates), "lang").withColumn("draw", draw).filter("draw < rate").select("lang", "draw", "text")
+    # the draw takes more than it needs, so that texts without letters may fail; equal rows draw alike and count once
+    rates = docs.sparkSession.createDataFrame([(r["lang"], (1.5 * each + 8) / r["count"]) for r in counts], "lang string, rate double")
+    draw = F.pmod(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(3)), F.lit(1 << 30)) / F.lit(1 << 30)
+    drawn = rows.join(F.broadcast(rates), "lang").withColumn("draw", draw).filter("draw < rate").filter(F.col("text").rlike(r"\p{L}"))
+    drawn = drawn.groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    drawn = drawn.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).filter(F.col("turn") <= each).select("lang", "draw", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, draws, texts = (batch.column(i).to_pylist() for i in range(3))
-            kept = [k for k, t in enumerate(texts) if any(map(str.isalpha, t))]
             out = []
-            for k in kept:
+            for k in range(len(texts)):
                 x = features([texts[k]])[0]
                 at = np.flatnonzero(x)
                 out.append((langs[k], draws[k], at.astype("<u2").tobytes(), x[at].astype("<f4").tobytes()))
             names = ["lang", "draw", "at", "x"]
             yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], schema=pa.schema(list(zip(names, (pa.string(), pa.float64(), pa.binary(), pa.binary())))))
 
-    got = sorted(drawn.mapInArrow(vectors, "lang string, draw double, at binary, x binary").collect(), key=lambda r: (r["lang"], r["draw"], r["at"]))
-    held: dict[str, list] = {}
-    for r in got:
-        if len(own := held.setdefault(r["lang"], [])) < each:
-            own.append(r)
-    chosen = [r for own in held.values() for r in own]
+    chosen = sorted(drawn.mapInArrow(vectors, "lang string, draw double, at binary, x binary").collect(), key=lambda r: (r["lang"], r["draw"], r["at"]))
     if not chosen:
         return None
     x = np.zeros((len(chosen), WIDTH), np.float32)
