@@ -60,37 +60,48 @@ def targets(sources: DataFrame, cap: float = 3.0) -> DataFrame:
     return final.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, block: int = 16, shard_words: int = 1_000_000, cap: float = 3.0, seed: int = 7, carry: str | None = None) -> DataFrame:
+def _small(df: DataFrame, rows: int = 300_000) -> DataFrame:
+    """df, broadcast if it has few rows (counted: it has been written) and left to a shuffle if not."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def mix_sources(docs: DataFrame, block: int = 16, shard_words: int = 200_000, shards: int = 4096, cap: float = 3.0, seed: int = 7, carry: str | None = None) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, epochs, part, taken, and the column `carry`.
 
     A source's target is `epochs` whole passes over it and a rest. The rests are divided into blocks of `block`
     words, apportioned to the sources, and each source's blocks to its shards (documents by seeded hash, about
-    shard_words words each). In a shard documents lie end to end in seeded order and its quota of blocks is taken
-    from the start; `part` is how many of a document's first words lie there, taken = epochs * size + part.
+    shard_words words each, at most `shards` a source). In a shard documents lie end to end in the order of a seeded
+    draw and its quota of blocks is taken from the start, up to one draw at which it ends; `part` is how many of a
+    document's first words are taken so. Only draws and sizes are shuffled: a document learns its shard's last draw
+    from a small table, so what is carried stays where it was read.
 
     A null or empty text has size 0 and nothing is taken; a null source is a source of its own; repeated rows are
-    documents of their own, and equal ones may share the cut in either order, with the same rows as result. An
-    empty table gives an empty result."""
+    documents of their own, and those on which a quota ends share what is left of it evenly, rounded down. An empty
+    table gives an empty result."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+    digest = F.sha2(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))), 256)
+    digit = lambda at: F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint")
     own = [carry] if carry else []
-    rows = docs.select("doc_id", "source", size.alias("size"), *own)
+    rows = docs.select("doc_id", "source", size.alias("size"), digit(1).alias("_draw"), digit(16).alias("_deal"), *own)
     rows = rows if carry else cut(rows)  # what is carried may be whole texts: counted again rather than written
     goal = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cap))
     goal = goal.withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.lit(int(cap)), F.floor(F.col("target") / F.col("source_size") + 1e-9))).otherwise(0).cast("bigint"))
     goal = goal.withColumn("_votes", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0)))
     goal = goal.withColumn("_seats", F.round(F.sum("_votes").over(Window.partitionBy(F.lit(0))) / block))
     quotas = apportion(goal, "_seats", "_votes", ["source"], []).withColumnRenamed("quota", "_quota").drop("_votes", "_seats")
-    quotas = cut(quotas.withColumns({"_shards": F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)), "_key": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))}))
-    dealt = rows.withColumn("_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source")
-    # one row a source, far below any broadcast limit; Spark itself checks the size
-    dealt = dealt.join(quotas, "_key").withColumn("_draw", F.xxhash64("doc_id", "size", F.lit(seed)))
-    dealt = dealt.withColumn("_shard", F.pmod(F.xxhash64("_draw"), F.col("_shards")))
-    shards = dealt.groupBy("_key", "_shard").agg(F.sum("size").alias("_votes"), F.first("_quota").alias("_seats"))
-    shards = apportion(shards, "_seats", "_votes", ["_key", "_shard"], ["_key"]).select("_key", "_shard", F.col("quota").alias("_words"))
-    stream = Window.partitionBy("_key", "_shard").orderBy("_draw", "doc_id", "size")
-    laid = dealt.join(shards, ["_key", "_shard"]).withColumn("_end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
-    part = F.least(F.col("size"), F.greatest(F.lit(0), F.col("_words") * block - (F.col("_end") - F.col("size"))))
-    return laid.select("doc_id", "source", "size", "source_size", "target", "epochs", part.cast("bigint").alias("part"), *own).withColumn(
+    key = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
+    quotas = cut(quotas.withColumns({"_shards": F.least(F.lit(shards), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))), "_key": key}))
+    dealt = rows.withColumn("_key", key).drop("source").join(_small(quotas), "_key").withColumn("_shard", F.pmod("_deal", "_shards"))
+    draws = cut(dealt.groupBy("_key", "_shard", "_draw").agg(F.sum("size").alias("_size"), F.count("*").alias("_rows"), F.first("_quota").alias("_seats")))
+    parts = draws.groupBy("_key", "_shard").agg(F.sum("_size").alias("_votes"), F.first("_seats").alias("_seats"))
+    parts = apportion(parts, "_seats", "_votes", ["_key", "_shard"], ["_key"]).select("_key", "_shard", (F.col("quota") * block).alias("_words"))
+    stream = Window.partitionBy("_key", "_shard").orderBy("_draw").rowsBetween(Window.unboundedPreceding, 0)
+    laid = draws.withColumn("_end", F.sum("_size").over(stream)).join(parts, ["_key", "_shard"]).filter("_end > _words")
+    last = laid.groupBy("_key", "_shard").agg(F.min(F.struct("_draw", ((F.col("_words") - F.col("_end") + F.col("_size")) / F.col("_rows")).alias("each"))).alias("_last"))
+    joined = dealt.join(_small(cut(last)), ["_key", "_shard"], "left")
+    rest = F.when(F.col("_draw") == F.col("_last._draw"), F.least("size", F.floor("_last.each"))).otherwise(0)
+    part = F.when(F.col("_last").isNull() | (F.col("_draw") < F.col("_last._draw")), F.col("size")).otherwise(rest)
+    return joined.select("doc_id", "source", "size", "source_size", "target", "epochs", part.cast("bigint").alias("part"), *own).withColumn(
         "taken", F.col("epochs") * F.col("size") + F.col("part")
     )
 
