@@ -1,17 +1,18 @@
 """Near-duplicate groups by SetSketch registers, banding, likelihood estimates and exact checks.
 
-A document's set is that of its lower-cased word shingles. Documents with equal sets are one node, the smallest id.
+A document's set is that of its lower-cased word shingles. Documents with equal sets are one node, named by a 64-bit
+hash of the set's 128-bit signature and size.
 A node's sketch has REGISTERS registers: each is floor(1 - log_b h) of the least exponentially distributed hash h of
 the set, cut to 0..LIMIT, so that sketches of a union are the maxima. Bands of ROWS registers give candidates; with
-BANDS bands a pair of similarity 0.8 shares none with probability (1 - 0.8 ** ROWS) ** BANDS, about 1e-7.
+BANDS bands a pair of similarity 0.8 shares none with probability (1 - 0.8 ** ROWS) ** BANDS, about 1e-7 if registers
+were independent; they are odd multiples of one hash, so tests measure the recall.
 
 No bucket's pairs are listed. First each bucket's members are compared with its first one, which settles most
-buckets. The nodes of buckets that still hold several components look for partners by their rare shingles: two sets
-of sizes p and q that are linked have o = percent * (p + q) / (100 + percent) shingles in common, so one of them is
-among any p - o + 1 of the first set. A node takes those that no larger component has (they find nothing), then the
-rarest; only the smaller component of a pair looks, so members of a large group don't look for each other. A pair is
-compared by sketches first (joint maximum likelihood of the similarity, given both exact sizes), and linked only by
-its full sets.
+buckets. The nodes of buckets that still hold several components look for partners by prefixes: with shingles in one
+order for all nodes (first those of one component only, then by how many nodes have them), two sets that are linked
+share one of the first n - ceil(percent * n / 100) + 1 of each. Shingles of one component only find nothing, so members
+of a large group don't look for each other. A pair is compared by sketches first (joint maximum likelihood of the
+similarity, given both exact sizes), and linked only by its full sets.
 """
 
 from __future__ import annotations
@@ -114,9 +115,9 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
                 more = np.concatenate([[0], np.cumsum(mix(sets ^ np.uint64(0x5555555555555555)), dtype=np.uint64)]).astype(np.uint64)
                 sig = [(s[begin + sizes] - s[begin]).astype(np.int64) for s in (sums, more)]
                 lines = [r.tobytes() if k else None for r, k in zip(regs, some)]
-                yield pd.DataFrame({"doc_id": ids[i:j].to_numpy(), "n": sizes[at], "sig1": sig[0][at], "sig2": sig[1][at], "regs": [lines[k] for k in at]}).astype({"doc_id": "Int64"})
+                yield pd.DataFrame({"doc_id": ids[i:j].to_numpy(), "th": batch["th"].iloc[i:j].to_numpy(), "n": sizes[at], "sig1": sig[0][at], "sig2": sig[1][at], "regs": [lines[k] for k in at]}).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(sketch, "doc_id bigint, n bigint, sig1 bigint, sig2 bigint, regs binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInPandas(sketch, "doc_id bigint, th bigint, n bigint, sig1 bigint, sig2 bigint, regs binary")
 
 
 PAIR = "a bigint, b bigint, ca bigint, cb bigint"
@@ -174,36 +175,35 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by rare shingles."""
-    sizes = open_.groupBy("comp").agg(F.count("*").alias("nodes"))
-    held = open_.join(sizes, "comp").select("node", F.struct("nodes", "comp").alias("rank"))
-    rows = held.join(sets, "node").select("node", "rank", F.size("items").alias("n"), F.explode("items").alias("item"))
-    found = rows.groupBy("item").agg(F.count("*").alias("nodes"), F.min("rank.comp").alias("c0"), F.max("rank.comp").alias("c1"), F.max("rank").alias("top"))
-    found = found.filter("c0 != c1").select("item", "nodes", "top")
-    cross = table(rows.join(found, "item"))
-    looking = cross.filter("top > rank")
-    # shingles that no larger component has stand first: they are the node's others
+    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by prefixes."""
+    rows = open_.join(sets, "node").select("node", "comp", F.size("items").alias("n"), F.explode("items").alias("item"))
+    found = rows.groupBy("item").agg(F.count("*").alias("nodes"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
+    cross = rows.join(found.select("item", "nodes"), "item")
     mine = Window.partitionBy("node")
+    # shingles of one component only stand first: they are the node's others
     place = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("nodes", "item")) - 1
-    probes = looking.withColumn("place", place).filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent)
-    probes = probes.select("item", F.col("node").alias("a"), F.col("rank").alias("ra"), F.col("n").alias("na"), "place")
-    others = cross.select("item", F.col("node").alias("b"), F.col("rank").alias("rb"), F.col("n").alias("nb"))
+    prefix = cross.withColumn("place", place).filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).select("item", "node", "comp", "n", "place")
+    prefix = table(prefix)
+    a, b = (prefix.select("item", *(F.col(c).alias(c + k) for c in ("node", "comp", "n", "place"))) for k in "ab")
     both = (F.col("na") + F.col("nb")) * percent
-    pairs = probes.join(others, "item").filter((F.col("rb") > F.col("ra")) & ((F.col("na") - F.col("place")) * (100 + percent) >= both) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-    return pairs.select("a", "b", F.col("ra.comp").alias("ca"), F.col("rb.comp").alias("cb")).distinct()
+    # from these places on both must still hold enough in common
+    enough = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb")) * (100 + percent) >= both
+    pairs = a.join(b, "item").filter((F.col("compa") < F.col("compb")) & enough & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
+    return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), F.col("compa").alias("ca"), F.col("compb").alias("cb")).distinct()
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Shingles of `words` words; documents are linked with 100 * intersection >= percent * union, and component_id is
-    the smallest doc_id reachable. Without words a document is linked with nothing: its component is itself. Repeated
-    rows of one id are one document with a row each. A null id cannot be reached or named: such a row stays alone,
-    with a null component, and is kept. An empty table gives an empty result; extra columns are not read."""
-    sketched = cut(_sketches(docs, words))
+    the smallest doc_id reachable. Without words a document is linked with nothing: its component is itself. Rows of
+    one id are one document with a row each: if their texts differ, it is linked with all that any of them is linked
+    with. A null id cannot be reached or named: such a row stays alone, with a null component, and is kept. An empty
+    table gives an empty result; extra columns are not read."""
+    sketched = cut(_sketches(docs, words).withColumn("node", F.xxhash64("sig1", "sig2", "n")).drop("sig1", "sig2"))
     named = sketched.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     # equal sets are one node: map-side combined, only the least id of each set and one sketch move
-    nodes = cut(named.groupBy("sig1", "sig2", "n").agg(F.min(F.struct(F.col("doc_id").alias("node"), "regs")).alias("x")).select("sig1", "sig2", "n", "x.node", "x.regs"))
+    nodes = cut(named.groupBy("node", "n").agg(F.min(F.struct("doc_id", "th", "regs")).alias("x")).select("node", "n", "x.doc_id", "x.th", "x.regs"))
     bands = F.array(*(F.xxhash64(F.lit(i), F.substring("regs", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)))
     rows = nodes.select("node", F.explode(bands).alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("first"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who")).filter("members > 1")
@@ -211,8 +211,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     shared = shared.groupBy("members", "who", "first").agg(F.min("key").alias("key"))
     buckets = table(rows.join(shared.select("key", "first"), "key").select("key", "first", "node"))
     # sets of the nodes that share a bucket
-    ids = buckets.select("node").distinct()
-    wanted = docs.select("doc_id", "text").join(ids.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
+    ids = nodes.select("node", "doc_id", "th").join(buckets.select("node").distinct(), "node", "left_semi")
+    wanted = docs.select("doc_id", "text", F.xxhash64("text").alias("th")).join(ids, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
@@ -224,17 +224,24 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
                 items = pa.ListArray.from_arrays(pa.array(ends), pa.array(s.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), items], ["node", "items"])
 
-    sets = table(wanted.select("doc_id", "text").mapInArrow(as_sets, "node bigint, items array<bigint>"))
+    sets = table(wanted.select("node", "text").mapInArrow(as_sets, "node bigint, items array<bigint>"))
     first = buckets.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"), F.col("first").alias("ca"), F.col("node").alias("cb")).distinct()
     comp = components(_linked(_likely(first, nodes), sets, percent))
     at = buckets.join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
     mixed = at.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
     open_ = table(at.join(mixed.select("key"), "key", "left_semi").select("node", "comp").distinct())
     new = table(_linked(_likely(_partners(open_, sets, percent), nodes), sets, percent))
-    merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnsRenamed({"node": "comp", "component": "into"})
-    comp = comp.withColumnRenamed("component", "comp").join(merged, "comp", "full").select(F.coalesce("node", "comp").alias("node"), F.coalesce("into", "comp").alias("component"))
-    whole = nodes.join(comp, "node", "left").select("sig1", "sig2", "n", F.coalesce("component", "node").alias("component"))
-    out = sketched.drop("regs").join(whole, ["sig1", "sig2", "n"], "left")
-    component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
+    # an id with several texts ties their sets together
+    several = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a != b").select("doc_id", "a")
+    tied = named.join(table(several), "doc_id").select("a", F.col("node").alias("b"))
+    ties = comp.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    whole = components(ties.unionByName(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).unionByName(tied.filter("a != b")))
+    least = nodes.select("node", "doc_id").join(whole, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    whole = table(whole.join(table(least), "component").select("node", "component_id"))
+    out = sketched.drop("regs", "th").join(whole, "node", "left")
+    # a set that is linked with no other: its least id
+    alone = nodes.select("node", F.col("doc_id").alias("own"))
+    out = out.join(table(alone), "node", "left")
+    component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "own")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
