@@ -12,6 +12,7 @@ from .fingerprint import fingerprints
 from .language import fit_language, identify
 from .mixing import mix_sources
 from .neardup import near_groups
+from .oracle import ORACLE_SQL as ORACLE_SQL
 from .packing import pack, tokenised_pieces
 from .quality import line_quality
 from .suffixes import remove_repeats
@@ -80,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_source_mix": op10_source_mix,
 }
-
-ORACLE_SQL: dict[str, str] = {}
