@@ -22,9 +22,30 @@ def unquote(c: Column) -> Column:
     return F.try_url_decode(F.replace(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B")))
 
 
-def token(c: Column) -> Column:
-    """Upper-case identifier: blanks and dashes become single underscores, none at the ends."""
-    return F.upper(F.regexp_replace(F.regexp_replace(collapse(unquote(c)), "[- _]+", "_"), "^_+|_+$", ""))
+def token(c: Column, uppercase: bool = True) -> Column:
+    """Identifier in one case: blanks and dashes become single underscores, none at the ends."""
+    return (F.upper if uppercase else F.lower)(F.regexp_replace(F.regexp_replace(collapse(unquote(c)), "[- _]+", "_"), "^_+|_+$", ""))
+
+
+def entity_name(c: Column) -> Column:
+    return F.lower(collapse(unquote(c)))
+
+
+def object_id(c: Column) -> Column:
+    return collapse(unquote(c))
+
+
+def hash_value(c: Column) -> Column:
+    return F.lower(blank_to_null(c))
+
+
+def date_component(c: Column) -> Column:
+    return collapse(c)
+
+
+def canonical_json(**values: Column) -> Column:
+    """Compact JSON with keys in order and nulls kept."""
+    return F.to_json(F.struct(*(values[k].alias(k) for k in sorted(values))), {"ignoreNullFields": "false"})
 
 
 def path(c: Column) -> Column:
@@ -58,17 +79,17 @@ def body_hash(c: Column) -> Column:
 
 def asset_fingerprint(hashes: Column) -> Column:
     """Of an array of hashes: sorted, lower case, nulls left out; an empty array counts."""
-    kept = F.array_sort(F.filter(F.transform(hashes, lambda h: F.lower(blank_to_null(h))), lambda h: h.isNotNull()))
+    kept = F.array_sort(F.filter(F.transform(hashes, hash_value), lambda h: h.isNotNull()))
     return sha256(F.to_json(F.struct(kept.alias("asset_hashes"))))
 
 
 def content_fingerprint(body: Column, assets: Column) -> Column:
-    return sha256(F.to_json(F.struct(assets.alias("asset_fingerprint"), body.alias("body_hash")), {"ignoreNullFields": "false"}))
+    return sha256(canonical_json(asset_fingerprint=assets, body_hash=body))
 
 
-def item_identity(system: Column, object_id: Column, source_uri: Column, container: Column, source_path: Column) -> tuple[Column, Column]:
+def item_identity(system: Column, own_id: Column, source_uri: Column, container: Column, source_path: Column) -> tuple[Column, Column]:
     """(content item key, identity method); null where nothing identifies the item."""
-    by_id, by_uri = collapse(unquote(object_id)), uri(source_uri)
+    by_id, by_uri = collapse(unquote(own_id)), uri(source_uri)
     by_path = F.concat_ws("/", path(container), path(source_path))
     by_path = F.when(path(container).isNotNull() & path(source_path).isNotNull(), by_path)
     method = F.when(by_id.isNotNull(), "SOURCE_OBJECT_ID").when(by_uri.isNotNull(), "NORMALIZED_URI").when(by_path.isNotNull(), "CONTAINER_PATH")
@@ -84,6 +105,31 @@ def child_key(version: Column, kind: str, *parts: Column) -> Column:
     return F.concat_ws(":", version, F.lit(kind), *parts)
 
 
+def body_key(version: Column, role: Column, section: Column, normalised_hash: Column, plain_hash: Column | None = None) -> Column:
+    own = hash_value(normalised_hash) if plain_hash is None else F.coalesce(hash_value(normalised_hash), hash_value(plain_hash))
+    return child_key(version, "body", F.coalesce(token(role), F.lit("UNKNOWN")), F.coalesce(path(section), F.lit("document")), own)
+
+
+def asset_key(version: Column, source_uri: Column, file_name: Column, order: Column, asset_hash: Column) -> Column:
+    name = F.coalesce(uri(source_uri), path(file_name), order.cast("string"))
+    return child_key(version, "asset", name, F.coalesce(hash_value(asset_hash), F.lit("no_hash")))
+
+
+def scope_key(version: Column, scope_type: Column, entity_id: Column, name: Column, label: Column) -> Column:
+    return child_key(version, "scope", token(scope_type), F.coalesce(object_id(entity_id), entity_name(name), entity_name(label), F.lit("unscoped")))
+
+
+def link_key(version: Column, entity_type: Column, entity_id: Column, name: Column, body_id: Column, asset_id: Column, start: Column, end: Column) -> Column:
+    span = F.concat_ws("-", *(F.coalesce(x.cast("string"), F.lit("na")) for x in (start, end)))
+    return child_key(version, "entity", token(entity_type), F.coalesce(object_id(entity_id), entity_name(name)), F.coalesce(body_id, asset_id, F.lit("document")), span)
+
+
+def date_key(version: Column, date_type: Column, value: Column, timestamp: Column, start: Column, end: Column, text: Column) -> Column:
+    """Without the body: the same date found in two bodies of a version is one."""
+    period = F.concat(date_component(start), F.lit("/"), date_component(end))
+    return child_key(version, "date", token(date_type), F.coalesce(date_component(value), date_component(timestamp), period, date_component(text)))
+
+
 def deterministic_id(namespace: str, key: Column) -> Column:
     return F.concat(F.lit(f"{namespace}_"), F.left(sha256(key), F.lit(32)))
 

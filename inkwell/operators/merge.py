@@ -31,8 +31,10 @@ def upsert(target: DataFrame, source: DataFrame, key: str, keep: tuple[str, ...]
 
 
 def merge_items(items: DataFrame, stage: DataFrame) -> DataFrame:
+    """New items are UNREVIEWED and active unless the stage says otherwise; known ones keep theirs where it says nothing."""
     source = first_per_key(stage, "content_item_key").withColumns({"created_at": F.col("staged_at"), "updated_at": F.col("staged_at")})
-    return upsert(items, source.select(*(c for c in items.columns if c in source.columns)), "content_item_key", ("first_seen_at", "created_at"), ("review_status", "is_active"))
+    merged = upsert(items, source.select(*(c for c in items.columns if c in source.columns)), "content_item_key", ("first_seen_at", "created_at"), ("review_status", "is_active"))
+    return merged.withColumns({"review_status": F.coalesce("review_status", F.lit("UNREVIEWED")), "is_active": F.coalesce("is_active", F.lit(True))})
 
 
 #: What a rerun of a known version renews.
@@ -86,9 +88,31 @@ def merge_versions(versions: DataFrame, pointers: DataFrame, stage: DataFrame) -
     return state.select(*(changed.get(c, F.col(c)).alias(c) for c in versions.columns)), upsert(pointers, moved, "content_id")
 
 
-def merge_children(target: DataFrame, stage: DataFrame, key: str, versions: DataFrame) -> DataFrame:
-    """Child rows (with content_version_key) resolved to their version and upserted; rows without a known version go."""
-    ids = versions.groupBy("content_version_key").agg(F.min(F.struct("content_version_id", "content_id")).alias("_v"))
-    rows = first_per_key(stage, key).drop("content_id", "content_version_id").join(ids, "content_version_key")
-    rows = rows.withColumns({"content_version_id": F.col("_v.content_version_id"), "content_id": F.col("_v.content_id"), "created_at": F.col("staged_at"), "updated_at": F.col("staged_at")})
-    return upsert(target, rows.select(*(c for c in target.columns if c in rows.columns)), key, ("created_at",))
+#: What a child row refers to: (column it gets, key it has, table, that table's key and id).
+_REFERENCES = {
+    "bodies": (("parent_content_body_id", "parent_content_body_key", "bodies", "content_body_key", "content_body_id"),),
+    "assets": (("content_body_id", "content_body_key", "bodies", "content_body_key", "content_body_id"),), "scopes": (),
+    "links": (("content_body_id", "content_body_key", "bodies", "content_body_key", "content_body_id"), ("content_asset_id", "content_asset_key", "assets", "content_asset_key", "content_asset_id")),
+    "dates": (("content_body_id", "content_body_key", "bodies", "content_body_key", "content_body_id"),),
+}
+
+
+def merge_children(tables: dict[str, DataFrame], stage: DataFrame, table: str, key: str) -> DataFrame:
+    """tables[table] with stage rows merged in: item and version are found by their keys (rows without both go), bodies
+    and assets by theirs (null if unknown). A body's parent may be in the same batch: its id follows from its key in
+    the stage or in the table. Merge bodies before assets, both before links and dates."""
+    target = tables[table]
+    rows = first_per_key(stage, key)
+    items = tables["items"].groupBy("content_item_key").agg(F.min("content_id").alias("_content_id"))
+    versions = tables["versions"].groupBy("content_version_key").agg(F.min("content_version_id").alias("_version_id"))
+    rows = rows.join(items, "content_item_key").join(versions, "content_version_key")
+    for column, own, owner, owner_key, owner_id in _REFERENCES[table]:
+        known = tables[owner].select(owner_key, owner_id)
+        if owner == table:
+            known = known.unionByName(stage.select(owner_key, owner_id))
+        known = known.groupBy(F.col(owner_key).alias(own)).agg(F.min(owner_id).alias("_found"))
+        rows = rows.drop(column).join(known, own, "left").withColumnRenamed("_found", column) if own != key else rows
+    rows = rows.withColumns({"content_id": F.col("_content_id"), "content_version_id": F.col("_version_id"), "created_at": F.col("staged_at"), "updated_at": F.col("staged_at")})
+    typed = [F.try_to_timestamp(c).cast(f.dataType).alias(f.name) if rows.schema[f.name].dataType.typeName() == "string" and f.dataType.typeName() in ("date", "timestamp_ntz") else c.cast(f.dataType).alias(f.name)
+             for f in target.schema if f.name in rows.columns for c in (F.col(f.name),)]
+    return upsert(target, rows.select(*typed), key, ("created_at",))

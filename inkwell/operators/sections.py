@@ -1,37 +1,63 @@
-"""Markdown documents to section rows, within the row: no shuffle and no UDF."""
+"""Markdown documents to body rows, within the row: no shuffle and no UDF."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import markdown, slug
+from ..functions.text import collapse, markdown, slug
 
+#: What a heading line is, and where lines end.
 _HEADING = r"(?U)^(#{1,6})\s+(.*?)\s*$"
+_LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+
+
+def _headings(lines: Column) -> Column:
+    """Headings in turn, each with its path and its parent's. The fold carries only the open path (six levels at most) besides its result."""
+
+    def heading(x: Column, i: Column) -> Column:
+        title = F.coalesce(collapse(F.regexp_extract(x, _HEADING, 2)), F.lit("section"))
+        return F.struct(i.alias("at"), F.length(F.regexp_extract(x, _HEADING, 1)).cast("bigint").alias("level"), title.alias("title"))
+
+    heads = F.filter(F.transform(lines, heading), lambda h: h["level"] > 0)
+    node, kind = "struct<level:bigint,path:string>", "array<struct<at:int,level:bigint,title:string,parent:string,path:string>>"
+    start = F.struct(F.array().cast(f"array<{node}>").alias("open"), F.array().cast(kind).alias("done"))
+
+    def step(acc: Column, h: Column) -> Column:
+        above = F.filter(acc["open"], lambda y: y["level"] < h["level"])
+        parent = F.try_element_at(above, F.lit(-1))["path"]
+        own = F.concat_ws("/", parent, slug(h["title"]))
+        row = F.struct(h["at"].alias("at"), h["level"].alias("level"), h["title"].alias("title"), parent.alias("parent"), own.alias("path"))
+        return F.struct(F.concat(above, F.array(F.struct(h["level"].alias("level"), own.alias("path")))).alias("open"), F.concat(acc["done"], F.array(row)).alias("done"))
+
+    return F.aggregate(heads, start, step, lambda acc: acc["done"])
 
 
 def sections(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs without `text`, one row a section: section_order (from 2; 1 is the document), section_level, section_title,
     section_path, parent_path (null: the document), body_text. A section reaches to the next heading of any level;
-    its parent is the nearest heading before it of a smaller level. What stands before the first heading is in no
-    section; null texts have none."""
-    lines = F.split(markdown(F.col(text)), "\n")
-    heads = F.filter(
-        F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.length(F.regexp_extract(x, _HEADING, 1)).cast("bigint").alias("level"), F.regexp_extract(x, _HEADING, 2).alias("title"))),
-        lambda h: h["level"] > 0,
-    )
-    kind = "array<struct<at:int,level:bigint,title:string,parent:string,path:string>>"
-
-    def step(done, h):
-        above = F.try_element_at(F.filter(done, lambda y: y["level"] < h["level"]), F.lit(-1))["path"]
-        own = F.concat_ws("/", above, slug(h["title"]))
-        return F.concat(done, F.array(F.struct(h["at"].alias("at"), h["level"].alias("level"), h["title"].alias("title"), above.alias("parent"), own.alias("path"))))
-
-    found = docs.withColumns({"_lines": lines, "_heads": F.aggregate(heads, F.array().cast(kind), step)})
-    rows = found.select(*(c for c in docs.columns if c != text), "_lines", "_heads", F.posexplode("_heads").alias("_k", "_h"))
+    its parent is the nearest heading before it of a smaller level. Headings are found on the lines as given, bodies
+    normalised after that. What stands before the first heading is in no section; null texts have none."""
+    kept = [c for c in docs.columns if c != text]
+    found = docs.withColumn("_lines", F.split(F.col(text), _LINE_END)).withColumn("_heads", _headings(F.col("_lines")))
+    rows = found.select(*kept, "_lines", "_heads", F.posexplode("_heads").alias("_k", "_h"))
     end = F.coalesce(F.get("_heads", F.col("_k") + 1)["at"], F.size("_lines"))
     body = F.array_join(F.slice("_lines", F.col("_h.at") + 1, end - F.col("_h.at")), "\n")
     return rows.select(
-        *(c for c in docs.columns if c != text), (F.col("_k") + 2).cast("bigint").alias("section_order"), F.col("_h.level").alias("section_level"), F.col("_h.title").alias("section_title"),
+        *kept, (F.col("_k") + 2).cast("bigint").alias("section_order"), F.col("_h.level").alias("section_level"), F.col("_h.title").alias("section_title"),
         F.col("_h.path").alias("section_path"), F.col("_h.parent").alias("parent_path"), markdown(body).alias("body_text"),
     )
+
+
+def primary_body(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row a document with the whole normalised text, columns as those of `sections`; a null text is empty."""
+    none = F.lit(None).cast("string")
+    return docs.select(
+        *(c for c in docs.columns if c != text), F.lit(1).cast("bigint").alias("section_order"), F.lit(None).cast("bigint").alias("section_level"), none.alias("section_title"),
+        none.alias("section_path"), none.alias("parent_path"), markdown(F.coalesce(text, F.lit(""))).alias("body_text"),
+    )
+
+
+def bodies(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Primary body and sections of each document, with body_role."""
+    return primary_body(docs, text).withColumn("body_role", F.lit("PRIMARY")).unionByName(sections(docs, text).withColumn("body_role", F.lit("SECTION")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ingest_queries, marts, metrics, oracle, quality, views
+from . import adapter_queries, ingest_queries, marts, metrics, oracle, quality, views
 from .projection import canonical_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,5 +59,5 @@ _ALL: dict[str, Query] = {
         metrics.a11_selected_date,
     )},
 }
-QUERIES: dict[str, Query] = {f"content_{k}": f for k, f in _ALL.items()} | ingest_queries.QUERIES
-ORACLE_SQL: dict[str, str] = oracle.oracles() | ingest_queries.ORACLE_SQL
+QUERIES: dict[str, Query] = {f"content_{k}": f for k, f in _ALL.items()} | ingest_queries.QUERIES | adapter_queries.QUERIES
+ORACLE_SQL: dict[str, str] = oracle.oracles() | ingest_queries.ORACLE_SQL | adapter_queries.ORACLE_SQL
