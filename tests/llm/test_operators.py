@@ -16,7 +16,7 @@ from inkwell.llm.mixing import mix_sources, mixed_documents
 from inkwell.llm.neardup import near_groups
 from inkwell.llm.packing import best_fit, pack, tokenised_pieces
 from inkwell.llm.quality import clean_lines, line_quality
-from inkwell.llm.suffixes import remove_repeats, suffix_array, without_repeats
+from inkwell.llm.suffixes import remove_repeats, suffix_array, suffix_arrays, without_repeats
 from inkwell.llm.tokens import UnigramCounter, token_counts, zipf_vocabulary
 from inkwell.llm.toxicity import BlockMaxIndex, toxicity
 
@@ -60,6 +60,21 @@ def test_repeated_words(docs, rows):
     assert found == {d: (n, k, sha) for d, (n, k, _, sha) in H.without_repeats(rows, 20, words=True).items()}
 
 
+def test_frequent_anchors_are_resolved_in_batches_and_salted(docs, rows):
+    assert got(remove_repeats(docs, hot=2, batch_hot=2)) == H.without_repeats(rows, 100, words=False)
+    words = {d: (n, k, sha) for d, (n, k, _, sha) in H.without_repeats(rows, 20, words=True).items()}
+    assert got(remove_repeated_words(docs, hot=2, batch_hot=2)) == words
+
+
+def test_suffix_arrays_of_many_texts():
+    rng = random.Random(5)
+    texts = [[rng.randint(1, rng.choice([1, 2, 5])) for _ in range(rng.randint(0, 40))] + [0] for _ in range(300)]
+    sizes = np.array([len(t) for t in texts])
+    found = suffix_arrays(np.array([x for t in texts for x in t]), sizes)
+    expected = [b + i for t, b in zip(texts, np.cumsum(sizes) - sizes) for i in sorted(range(len(t)), key=lambda i: t[i:])]
+    assert found.tolist() == expected
+
+
 def test_rows_without_an_id_are_dealt_by_text(spark):
     from inkwell.llm.windows import NULL_ID, bucket_of, document_bucket
 
