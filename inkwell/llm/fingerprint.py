@@ -8,6 +8,7 @@ taken over is hashed with the empty bin's number, so that chance matches of low
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +37,8 @@ def _shingles(text: Column) -> Column:
 
 def packed_minhash(text: Column) -> Column:
     """array<bigint> of BINS * BITS bits; null for a text without words."""
+    drawn = random.Random(BINS)
+    probes = _numbers([drawn.randrange(BINS) for _ in range(BINS * PROBES)], "int")
     ends = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.shiftleft(b.cast("bigint"), 56).bitwiseOR(F.lit(_LOW)))
 
     def firsts(s: Column) -> Column:  # of sorted hashes, an end mark in every bin: the least of each bin
@@ -43,8 +46,7 @@ def packed_minhash(text: Column) -> Column:
 
     def dense(full: Column) -> Column:
         def filled(i: Column) -> Column:
-            probes = F.transform(F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda t: F.pmod(F.xxhash64(i, t), F.lit(BINS)).cast("int"))
-            near = F.filter(probes, lambda p: full[p].isNotNull())
+            near = F.filter(F.slice(probes, i * PROBES + 1, F.lit(PROBES)), lambda p: full[p].isNotNull())
             bins = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda p: full[p].isNotNull())
             far = F.array_min(F.transform(bins, lambda p: F.struct(F.xxhash64(i, p + 1000).alias("h"), p.alias("p"))))["p"]
             return _let(near, lambda c: F.when(F.size(c) > 0, F.xxhash64(full[F.get(c, F.lit(0))], i)).otherwise(F.xxhash64(full[far], i)))
@@ -87,31 +89,61 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)))
 
 
-def with_next(docs: DataFrame, columns: list[str], rows_per_bucket: int = 4096, cells: int = 65536) -> DataFrame:
+def _cuts(docs: DataFrame, rows_per_bucket: int, buckets: int) -> tuple[list[int], set[int]]:
+    """Ascending ids that cut docs into cells of about rows_per_bucket rows (at most `buckets` of them), and the
+    cells (k: from cuts[k - 1] on, -1: null ids) that hold a single id with more rows than that."""
+    n, with_id = docs.agg(F.count("*"), F.count("doc_id")).first()
+    cells = min(buckets, -(-n // rows_per_bucket))
+    heavy = {-1} if (n - with_id) * cells > n else set()
+    if cells < 2 or not with_id:
+        return [], heavy
+    found = docs.agg(F.percentile_approx("doc_id", [k / cells for k in range(1, cells)], max(10_000, 8 * cells))).first()[0]
+    often = {a for a, b in zip(found, found[1:]) if a == b}
+    cuts = sorted({*found, *(a + 1 for a in often if a < (1 << 63) - 1)})
+    return cuts, heavy | {cuts.index(a) + 1 for a in often}
+
+
+def _numbers(values: list[int], kind: str) -> Column:
+    """A literal array, whatever its length."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def with_next(docs: DataFrame, columns: list[str], rows_per_bucket: int = 4096, buckets: int = 8192) -> DataFrame:
     """docs (doc_id, text, ...) with next_<c> of the next row in descending doc_id, the first one's after the last.
 
-    Ids are counted in at most `cells` cells of equal width, cells joined to buckets of about rows_per_bucket rows,
-    and each bucket sorted on its own; the head of a bucket also stands, as a ghost, at the end of the one before.
-    Null ids come last; rows of one id are in the order of their text."""
-    span = docs.agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")).first()
-    lo, hi = span["_lo"] or 0, span["_hi"] or 0
-    width = max(1, -(-(hi - lo + 1) // cells))
-    cell = F.coalesce(F.floor((F.col("doc_id") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(-1))
-    down, all_rows = Window.orderBy(F.desc("_cell")), Window.partitionBy(F.lit(0))
-    # at most `cells` rows, whatever the corpus
-    counted = docs.select(cell.alias("_cell"), "doc_id").groupBy("_cell").agg(F.count("*").alias("_n"), F.max("doc_id").alias("_head"))
-    counted = counted.withColumn("_b", F.floor((F.sum("_n").over(down) - F.col("_n")) / rows_per_bucket))
+    Approximate quantiles cut the ids into cells; an id with more rows than a cell has one of its own, dealt by the
+    rows' text hashes. Cells, in order, make buckets, and each bucket is sorted on its own; its head also stands, as
+    a ghost, at the end of the one before. Which ids are cut where changes no result. Null ids come last; rows of
+    one id are in the order of their text, or, where they outnumber a cell, of a hash of it. Only rows equal in both
+    can't be dealt."""
+    cuts, heavy = _cuts(docs, rows_per_bucket, buckets)
+    cell = F.lit(0)
+    if cuts:
+        ids, steps = _numbers(cuts, "bigint"), [1 << k for k in reversed(range(len(cuts).bit_length()))]
+        cell = F.aggregate(_numbers(steps, "int"), F.lit(0), lambda c, k: F.when(F.get(ids, c + k - 1) <= F.col("doc_id"), c + k).otherwise(c))
+    cell = F.when(F.col("doc_id").isNull(), -1).otherwise(cell)
+    tie = F.lit(0).cast("bigint")
+    if heavy:
+        tie = F.when(F.col("_cell").isin(*heavy), F.shiftrightunsigned(F.xxhash64("text"), 1)).otherwise(tie)
+    placed = docs.withColumn("_cell", cell).withColumn("_tie", tie).withColumn("_part", F.shiftright("_tie", 57).cast("int"))
+    turn = (F.desc("_cell"), F.asc("_part"))
+    # a row a cell, or 64 for a heavy one, whatever the corpus
+    counted = placed.groupBy("_cell", "_part").agg(F.count("*").alias("_n"), F.min(F.struct(F.bitwise_not("doc_id").alias("i"), F.col("_tie").alias("t"))).alias("_least"))
+    before = F.sum("_n").over(Window.orderBy(*turn)) - F.col("_n")
+    each = F.greatest(F.lit(rows_per_bucket), F.ceil(F.sum("_n").over(Window.partitionBy(F.lit(0))) / buckets))
+    counted = counted.withColumn("_b", F.floor(before / each))
     counted = counted.withColumn("_bucket", F.dense_rank().over(Window.orderBy("_b")))
-    counted = counted.withColumn("_head_cell", F.max("_cell").over(Window.partitionBy("_bucket"))).withColumn("_last", F.max("_bucket").over(all_rows))
+    counted = counted.withColumn("_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(*turn))).withColumn("_last", F.max("_bucket").over(Window.partitionBy(F.lit(0))))
     counted = counted.select(
-        "_cell", "_bucket", F.when(F.col("_cell") == F.col("_head_cell"), F.struct("_head")).alias("_head"),
+        "_cell", "_part", "_bucket", F.when(F.col("_rank") == 1, F.struct("_least")).alias("_head"),
         F.when(F.col("_bucket") == 1, F.col("_last")).otherwise(F.col("_bucket") - 1).alias("_before"),
     )
-    placed = docs.withColumn("_cell", cell).join(F.broadcast(counted), "_cell")
-    is_head = F.col("_head").isNotNull() & F.col("doc_id").eqNullSafe(F.col("_head._head"))
+    placed = placed.join(F.broadcast(counted), ["_cell", "_part"])
+    least = F.col("_head._least")
+    is_head = F.col("_head").isNotNull() & F.bitwise_not("doc_id").eqNullSafe(least["i"]) & (F.col("_tie") == least["t"])
     own, ghost = F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("g")), F.struct(F.col("_before").alias("b"), F.lit(True).alias("g"))
     placed = placed.withColumn("_at", F.explode(F.when(is_head, F.array(own, ghost)).otherwise(F.array(own)))).withColumns({"_b": F.col("_at.b"), "_g": F.col("_at.g")})
-    order = Window.partitionBy("_b").orderBy("_g", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first())
+    order = Window.partitionBy("_b").orderBy("_g", F.col("doc_id").desc_nulls_last(), "_tie", F.col("text").asc_nulls_first())
     out = placed.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
     return out.filter(~F.col("_g")).select(*docs.columns, *(f"next_{c}" for c in columns))
 

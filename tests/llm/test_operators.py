@@ -194,6 +194,52 @@ def test_fingerprints(docs, rows):
     assert all(len(f) == 1 for f in by_text.values())
 
 
+@pytest.mark.parametrize("ids", ["outlier", "wide", "null", "repeated", "dense"])
+def test_next_document_of_any_ids(spark, ids):
+    from pyspark.sql import functions as F
+
+    from inkwell.llm.fingerprint import _cuts, with_next
+
+    of = {
+        "outlier": lambda i: 10**17 if i == 999 else i, "wide": lambda i: [-9 * 10**18, 9 * 10**18, (1 << 63) - 1, -(1 << 63)][i] if i < 4 else i * 7,
+        "null": lambda i: None if i % 3 == 0 else i, "repeated": lambda i: 500 if i % 3 == 0 else i, "dense": lambda i: i,
+    }[ids]
+    rows = [(of(i), f"text {i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    cuts, heavy = _cuts(df, 50, 8192)
+    assert bool(heavy) == (ids in ("null", "repeated")) and len(cuts) >= 10
+    out = with_next(df, ["doc_id", "text"], rows_per_bucket=50).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in out) == sorted((d is None, d or 0, t) for d, t in rows)
+    after = {(r["doc_id"], r["text"]): (r["next_doc_id"], r["next_text"]) for r in out}
+    at, seen = (out[0]["doc_id"], out[0]["text"]), []
+    for _ in rows:  # one cycle over all rows, in descending order but for one step
+        seen.append(at)
+        at = after[at]
+    assert len(set(seen)) == len(rows) and at == seen[0]
+    key = [-(1 << 64) if d is None else d for d, _ in seen]
+    assert sum(b > a for a, b in zip(key, [*key[1:], key[0]])) == 1
+    sizes = df.withColumn("packed", F.lit(1))
+    assert with_next(sizes, ["packed"], rows_per_bucket=50).filter("next_packed = 1").count() == len(rows)
+
+
+def test_fingerprints_estimate_likeness(spark):
+    from pyspark.sql import functions as F
+
+    from inkwell.llm.fingerprint import likeness, packed_minhash
+
+    rng, rows = random.Random(9), []
+    for k in range(120):  # similarities from 0 to 1, short texts with many empty bins too
+        n, share = rng.choice([12, 60, 400]), k % 11 / 10
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        rows.append((" ".join(words), " ".join(words[: int(n * share)] + [f"v{rng.randrange(10**6)}" for _ in range(n - int(n * share))])))
+    found = spark.createDataFrame(rows, "a string, b string").select("a", "b", likeness(packed_minhash(F.col("a")), packed_minhash(F.col("b"))).alias("l")).collect()
+    errors = []
+    for a, b, x in found:
+        s, t = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+        errors.append(x - len(s & t) / len(s | t))
+    assert max(map(abs, errors)) < 0.25 and (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.08 and abs(sum(errors) / len(errors)) < 0.03
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
