@@ -228,8 +228,9 @@ def suffix_arrays(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out[at] - np.repeat(np.arange(1, m + 1), n)
 
 
-#: A text of more than LONG symbols is sorted alone; shorter ones together, about TOGETHER symbols at a time, if that makes FEW texts or more.
-LONG, TOGETHER, FEW = 20_000, 1 << 20, 200
+#: Texts are sorted together, about TOGETHER symbols at a time, if they have EVEN times the symbols of their longest one, which tells the number of
+#: steps; the others are sorted alone.
+TOGETHER, EVEN = 1 << 20, 80
 
 
 def sorted_suffixes(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -237,14 +238,16 @@ def sorted_suffixes(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     out = np.zeros(len(symbols), np.int64)
     begin = np.cumsum(sizes) - sizes
     by = np.argsort(sizes, kind="stable")  # texts of like sizes take equally many steps
-    short = int(np.searchsorted(sizes[by], LONG, side="right"))
-    reach = np.cumsum(sizes[by[:short]])
+    reach = np.cumsum(sizes[by])
     at = 0
-    while at < short:
-        to = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + TOGETHER, side="right")))
-        own = by[at:to]
-        if to - at < FEW:
+    while at < len(by):
+        before = reach[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(reach, before + TOGETHER, side="right")))
+        worth = np.flatnonzero(reach[at:to] - before >= EVEN * sizes[by[at:to]])
+        if not len(worth):
             break
+        to = at + int(worth[-1]) + 1
+        own = by[at:to]
         where = ranges(begin[own], sizes[own])
         out[where] = where[suffix_arrays(symbols[where].astype(np.int64), sizes[own])]
         at = to
@@ -260,7 +263,8 @@ def resolve_by_suffixes(runs: Runs, kind: Kind) -> tuple[np.ndarray, np.ndarray,
     An anchor's text is its different runs, byte for byte, each after a mark. In the sorted suffixes, equal windows
     are neighbours with a common prefix of a whole window, which is compared; such an interval's least place in the
     corpus is the first start, and all others are repeats. A run that occurs several times stands in the text once,
-    with its first place; its later places are repeats of that one."""
+    with its first place; its later places are repeats of that one. A text of one run isn't sorted: the windows of a
+    run have their anchor in different places, so no two of them are equal."""
     w = kind.window
     turn = np.lexsort((runs.start, runs.place))
     code: dict[bytes, int] = {}
@@ -272,9 +276,14 @@ def resolve_by_suffixes(runs: Runs, kind: Kind) -> tuple[np.ndarray, np.ndarray,
     again[first] = False
     texts = list(code)
     by = np.argsort(runs.anchor[first], kind="stable")
+    text_of = np.cumsum(np.concatenate([[0], np.diff(runs.anchor[first][by]) != 0])[: len(by)]).astype(np.int64)
+    by = by[np.bincount(text_of)[text_of] > 1] if len(by) else by
+    r = np.flatnonzero(again)
+    if not len(by):
+        return r, runs.start[r], runs.start[r] + runs.windows[r] - 1
     anchor, first = runs.anchor[first][by], first[by]
     raw = b"".join([texts[i] for i in by.tolist()])
-    length = np.fromiter(map(len, texts), np.int64, len(texts))[by]
+    length = np.fromiter((len(texts[i]) for i in by.tolist()), np.int64, len(by))
     data = np.frombuffer(raw + bytes(8), np.uint8)
     begin = np.cumsum(length) - length
     # symbols: a mark (1) before each run, bytes from 2 on, and the least symbol (0) at the end of each anchor's text
@@ -302,7 +311,6 @@ def resolve_by_suffixes(runs: Runs, kind: Kind) -> tuple[np.ndarray, np.ndarray,
     key = (runs.place[first][run] << 32) + runs.start[first][run] + (order - lead[run])
     head = np.flatnonzero(np.concatenate([[True], ~same]))
     repeated = key > np.repeat(np.minimum.reduceat(key, head), np.diff(np.concatenate([head, [len(key)]]))) if len(key) else np.zeros(0, bool)
-    r = np.flatnonzero(again)
     own, at = first[run[repeated]], key[repeated] & 0xFFFFFFFF
     return np.concatenate([r, own]), np.concatenate([runs.start[r], at]), np.concatenate([runs.start[r] + runs.windows[r] - 1, at])
 
