@@ -23,11 +23,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where the session names none (tests) a temporary one."""
+    """The folder that driver and executors share; where the session names none, a temporary one in local mode, an
+    error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", "")
     if not named:
         held = spark.sparkContext.getCheckpointDir()
         if not held:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="inkwell-ckpt-"))
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
