@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import documents
+from inkwell.llm.common import documents, shared_folder
 from inkwell.llm.language import fit_language, identify
 from inkwell.llm.mixing import mixed_documents
 from inkwell.llm.neardup import near_groups
@@ -60,8 +59,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir; each one's result is written as Parquet to the cluster's shared
     folder and read again, so that a lost executor costs no earlier stage."""
-    shared = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="inkwell-pipeline-")
-    top, docs = f"{shared}/pipeline-{uuid.uuid4().hex}", documents(spark, sf_dir)
+    top, docs = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}-{name}")
         docs = spark.read.parquet(f"{top}/{k}-{name}")
