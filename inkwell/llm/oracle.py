@@ -74,4 +74,25 @@ laid AS (SELECT dealt.*, coalesce(words, 0) AS words, sum(size) OVER (PARTITION
 SELECT doc_id, source, size, source_size, target,
   (epochs * size + CASE WHEN reach <= words THEN size WHEN reach - own >= words THEN 0 ELSE least(size, floor((words - reach + own) / equal)) END)::BIGINT AS taken FROM laid"""
 
-ORACLE_SQL = {"op1_suffix_dedup": OP1, "op5_substring_dedup": OP5, "op8_near_dedup": OP8, "op10_source_mix": OP10}
+
+
+def clusters(k: int = 8, rounds: int = 10, seed: int = 3, dims: int = 64, scale: int = 1024) -> str:
+    """Rounds of exact k-means, one after the other: every distance is worked out."""
+    nearest = "SELECT vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT v.vec_id, c.c, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM v JOIN c{0} c USING (i) GROUP BY v.vec_id, c.c) GROUP BY vec_id"
+    moved = """SELECT c.c, c.i, coalesce(m.x, c.x) AS x FROM c{0} c LEFT JOIN (SELECT c, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS x
+  FROM (SELECT a.c, v.i, sum(v.x)::BIGINT AS s, count(*) AS n FROM a{0} a JOIN v USING (vec_id) GROUP BY a.c, v.i)) m USING (c, i)"""
+    steps = [
+        f"e AS MATERIALIZED (SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)",
+        f"v AS MATERIALIZED (SELECT vec_id, generate_subscripts(embedding, 1) AS i, floor({scale} * unnest(embedding)::DOUBLE)::BIGINT AS x FROM e)",
+        f"f AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c FROM e)",
+        f"c0 AS MATERIALIZED (SELECT f.c, v.i, v.x FROM f JOIN v USING (vec_id) WHERE f.c < {k})",
+    ]
+    for r in range(rounds):
+        steps += [f"a{r} AS MATERIALIZED ({nearest.format(r)})", f"c{r + 1} AS MATERIALIZED ({moved.format(r)})"]
+    steps.append(f"a AS MATERIALIZED ({nearest.format(rounds)})")
+    steps.append(f"h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS sha FROM c{rounds} GROUP BY c)")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, a.c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha AS centroid_sha256 FROM a JOIN h USING (c)"""
+
+
+ORACLE_SQL = {"op1_suffix_dedup": OP1, "op5_substring_dedup": OP5, "op8_near_dedup": OP8, "op10_source_mix": OP10, "op13_centroid_clusters": clusters()}

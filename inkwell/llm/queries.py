@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import alignment_support
+from .centroids import centroid_clusters
 from .common import documents
 from .factors import remove_repeated_words
 from .fingerprint import fingerprints
@@ -15,6 +17,7 @@ from .neardup import near_groups
 from .oracle import ORACLE_SQL as ORACLE_SQL
 from .packing import pack, tokenised_pieces
 from .quality import line_quality
+from .sharding import shard_documents
 from .suffixes import remove_repeats
 from .tokens import token_counts
 from .toxicity import toxicity
@@ -69,6 +72,22 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return alignment_support(documents(spark, sf_dir), a, b).select(*names)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(documents(spark, sf_dir))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_quality": op2_line_quality,
@@ -80,4 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_source_mix": op10_source_mix,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_sharding": op12_sharding,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
