@@ -89,25 +89,26 @@ def content_fingerprint(body: Column, assets: Column) -> Column:
 
 def item_identity(system: Column, own_id: Column, source_uri: Column, container: Column, source_path: Column) -> tuple[Column, Column]:
     """(content item key, identity method); null where nothing identifies the item."""
-    by_id, by_uri = collapse(unquote(own_id)), uri(source_uri)
+    by_id, by_uri = object_id(own_id), uri(source_uri)
     by_path = F.concat_ws("/", path(container), path(source_path))
     by_path = F.when(path(container).isNotNull() & path(source_path).isNotNull(), by_path)
     method = F.when(by_id.isNotNull(), "SOURCE_OBJECT_ID").when(by_uri.isNotNull(), "NORMALIZED_URI").when(by_path.isNotNull(), "CONTAINER_PATH")
     return F.concat(token(system), F.lit(":"), F.coalesce(by_id, by_uri, by_path)), method
 
 
-def version_key(item_key: Column, *candidates: Column) -> Column:
+def version_key(item_key: Column, source_version_id: Column, fingerprint: Column, file_hash: Column) -> Column:
     """The item's key and the first of source version id, fingerprint and file hash that is there."""
-    return F.concat(item_key, F.lit(":"), F.coalesce(*map(blank_to_null, candidates)))
+    return F.concat(blank_to_null(item_key), F.lit(":"), F.coalesce(object_id(source_version_id), hash_value(fingerprint), hash_value(file_hash)))
 
 
 def child_key(version: Column, kind: str, *parts: Column) -> Column:
-    return F.concat_ws(":", version, F.lit(kind), *parts)
+    """The version's key, the kind and the parts; null if one of them is."""
+    return F.concat(blank_to_null(version), F.lit(f":{kind}"), *(F.concat(F.lit(":"), p) for p in parts))
 
 
 def body_key(version: Column, role: Column, section: Column, normalised_hash: Column, plain_hash: Column | None = None) -> Column:
     own = hash_value(normalised_hash) if plain_hash is None else F.coalesce(hash_value(normalised_hash), hash_value(plain_hash))
-    return child_key(version, "body", F.coalesce(token(role), F.lit("UNKNOWN")), F.coalesce(path(section), F.lit("document")), own)
+    return child_key(version, "body", token(role), F.coalesce(path(section), F.lit("document")), own)
 
 
 def asset_key(version: Column, source_uri: Column, file_name: Column, order: Column, asset_hash: Column) -> Column:
@@ -124,10 +125,36 @@ def link_key(version: Column, entity_type: Column, entity_id: Column, name: Colu
     return child_key(version, "entity", token(entity_type), F.coalesce(object_id(entity_id), entity_name(name)), F.coalesce(body_id, asset_id, F.lit("document")), span)
 
 
+def date_identity(value: Column, timestamp: Column, start: Column, end: Column, text: Column) -> Column:
+    period = F.concat(date_component(start), F.lit("/"), date_component(end))
+    return F.coalesce(date_component(value), date_component(timestamp), period, date_component(text))
+
+
 def date_key(version: Column, date_type: Column, value: Column, timestamp: Column, start: Column, end: Column, text: Column) -> Column:
     """Without the body: the same date found in two bodies of a version is one."""
-    period = F.concat(date_component(start), F.lit("/"), date_component(end))
-    return child_key(version, "date", token(date_type), F.coalesce(date_component(value), date_component(timestamp), period, date_component(text)))
+    return child_key(version, "date", token(date_type), date_identity(value, timestamp, start, end, text))
+
+
+#: Why a row of each stage table has no key, in the order in which its parts are asked for.
+KEY_REASONS = {
+    "items": ("source_system is required", "content item identity requires source_object_id, normalized source_uri, or both source_container and source_path"),
+    "versions": ("content version identity requires source_version_id, content_fingerprint, or source_file_hash", "content_item_key is required"),
+    "bodies": ("body_role is required", "content body key requires normalized_body_hash or body_hash", "content_version_key is required"),
+    "assets": ("content asset key requires source_asset_uri, file_name, or asset_order", "content_version_key is required"),
+    "scopes": ("scope_type is required", "content_version_key is required"),
+    "links": ("entity_type is required", "content entity link key requires entity_id or entity_name", "content_version_key is required"),
+    "dates": ("date_type is required", "content date key requires date_value, timestamp_value, period_start/end, or date_text", "content_version_key is required"),
+}
+
+
+def checked_key(table: str, key: Column, *parts: Column) -> Column:
+    """struct<key, reason>: the key, or why there is none, namely the first of the parts (as many as the table has
+    reasons) that is null."""
+    texts = KEY_REASONS[table]
+    if len(parts) != len(texts):
+        raise ValueError(f"{table}: {len(texts)} parts are needed")
+    reason = F.coalesce(*(F.when(p.isNull(), F.lit(t)) for p, t in zip(parts, texts)))
+    return F.struct(F.when(reason.isNull(), key).alias("key"), reason.alias("reason"))
 
 
 def deterministic_id(namespace: str, key: Column) -> Column:

@@ -66,7 +66,7 @@ def merge_versions(versions: DataFrame, pointers: DataFrame, stage: DataFrame) -
         "current_from_at": F.when(~again & promoted, since), "duplicate_of_content_version_id": F.when(again, F.col("_same.content_version_id")),
         "duplicate_reason": F.when(again, "IDENTICAL_CONTENT_FINGERPRINT"), "created_at": F.col("staged_at"), "updated_at": F.col("staged_at"),
     }
-    added = new.select(*(made.get(c, F.col(c) if c in new.columns else F.lit(None).cast(versions.schema[c].dataType)).alias(c) for c in versions.columns))
+    added = new.select(*(made.get(c, F.col(c) if c in new.columns else F.lit(None)).cast(versions.schema[c].dataType).alias(c) for c in versions.columns))
     rerun = rows.filter("_known").select("content_version_key", *(c for c in _RENEWED if c in rows.columns), F.col("staged_at").alias("updated_at"))
     merged = upsert(versions, rerun, "content_version_key").unionByName(added)
     # promotion: at most one version an item (validation sees to it; else the last key)

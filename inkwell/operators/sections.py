@@ -59,5 +59,6 @@ def primary_body(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bodies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Primary body and sections of each document, with body_role."""
-    return primary_body(docs, text).withColumn("body_role", F.lit("PRIMARY")).unionByName(sections(docs, text).withColumn("body_role", F.lit("SECTION")))
+    """Primary body and sections of each document, with body_role and has_sections (of the document)."""
+    headed = docs.withColumn("has_sections", F.coalesce(F.exists(F.split(F.col(text), _LINE_END), lambda x: x.rlike(_HEADING)), F.lit(False)))
+    return primary_body(headed, text).withColumn("body_role", F.lit("PRIMARY")).unionByName(sections(headed, text).withColumn("body_role", F.lit("SECTION")))

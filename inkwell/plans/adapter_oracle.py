@@ -52,7 +52,7 @@ bi AS (SELECT *, 'CONTENT_BODY_' || left(sha256(bkey), 32) AS bid FROM bk),
 ak AS (SELECT a.i, a.sec, item, ver, ver || ':asset:' || CASE WHEN a.file LIKE 'Deck%' THEN 'deck ' || a.d || '.pdf' ELSE a.file END || ':' || coalesce(lower(hash), 'no_hash') AS akey FROM a JOIN k USING (i)),
 sk AS (SELECT sc.i, sc.kind, item, ver, ver || ':scope:' || sc.kind || ':' || coalesce(id, lower(name), lower(label)) AS skey FROM sc JOIN k USING (i)),
 lk AS (SELECT l.i, l.o, l.id, bi.item, bi.ver, bi.bid, bi.bkey, bi.ver || ':entity:' || l.kind || ':' || coalesce(l.id, lower(l.name)) || ':' || bi.bid || ':' || st || '-' || (st + length(said)) AS lkey FROM l JOIN bi ON bi.i = l.i AND bi.o = l.o),
-dk AS (SELECT dt.i, dt.o, dt.kind, k.item, k.ver, bid, bkey, k.ver || ':date:' || dt.kind || ':' || coalesce(v, ts) AS dkey FROM dt JOIN k USING (i) LEFT JOIN bi ON bi.i = dt.i AND bi.o = dt.o)
+dk AS (SELECT dt.i, dt.o, dt.kind, k.item, k.ver, bid, bkey, k.ver || ':date:' || dt.kind || ':' || coalesce(nullif(trim(regexp_replace(v, '\\s+', ' ', 'g')), ''), ts, nullif(p || '/' || q, ''), trim(regexp_replace(said, '\\s+', ' ', 'g'))) AS dkey FROM dt JOIN k USING (i) LEFT JOIN bi ON bi.i = dt.i AND bi.o = dt.o)
 """
 _ID = "'{0}_' || left(sha256({1}), 32)"
 

@@ -73,7 +73,7 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.assets(_bodies(spark, sf_dir), given(spark, sf_dir))
+    return extract.assets(_bodies(spark, sf_dir), given(spark, sf_dir)).drop("asset_id", "ocr_text", "caption_text")
 
 
 def entity_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,11 +84,11 @@ def entity_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.scopes(_bodies(spark, sf_dir), _links(spark, sf_dir))
+    return extract.scopes(_bodies(spark, sf_dir), _links(spark, sf_dir)).drop("evidence_text", "evidence_section")
 
 
 def date_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.date_candidates(_bodies(spark, sf_dir), notes(spark, sf_dir)).drop("date_role")
+    return extract.date_candidates(_bodies(spark, sf_dir), notes(spark, sf_dir)).drop("date_role", "evidence_text")
 
 
 def manifest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ def _merged(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     first = {"items": (), "bodies": (), "assets": ("bodies",), "scopes": (), "links": ("bodies", "assets"), "dates": ("bodies",)}[table]
     stage = _stage(spark, sf_dir, *dict.fromkeys(("items", "versions", *first, table)))
     empty = {t: spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in columns(t))) for t in KEYS}
-    ready = stage["items"].withColumns({"review_status": F.lit(None).cast("string"), "is_active": F.lit(None).cast("boolean"), "source_created_at": F.col("source_created_at").cast("timestamp_ntz"), "source_modified_at": F.col("source_modified_at").cast("timestamp_ntz")})
+    ready = stage["items"].withColumns({"review_status": F.lit(None).cast("string"), "is_active": F.lit(None).cast("boolean")})
     held = ready.filter(F.col("item_identity_method") == "NORMALIZED_URI")
     held = held.withColumns({"review_status": F.lit("APPROVED"), "is_active": F.lit(False), "first_seen_at": F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"), "source_title": F.lit("old")})
     before = held.select(*((F.col(f.name) if f.name in held.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in empty["items"].schema))

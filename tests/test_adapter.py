@@ -46,7 +46,7 @@ def test_snapshots_are_all_or_nothing(spark, tmp_path):
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
-@pytest.mark.parametrize("name", ["ingest_bodies", "ingest_assets", "ingest_manifest_errors", "ingest_merged_bodies"])
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     c = duckdb.connect()
