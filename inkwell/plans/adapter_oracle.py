@@ -89,7 +89,47 @@ _ISSUES = [
 ]
 _NAMES = "SELECT doc_id AS i, CASE WHEN doc_id % 10 = 5 THEN (doc_id - 1)::VARCHAR WHEN doc_id % 10 <> 6 THEN doc_id::VARCHAR END AS name FROM documents"
 
+_LOST, _NAMELESS = "i % 7 = 3", "(i % 11 = 2 AND i % 7 <> 3)"
+_BARE = f"({_LOST} OR {_NAMELESS})"
+_NO_VERSION = f"(i % 13 = 4 AND i % 2 = 1 AND NOT {_BARE})"
+_ANY = f"({_BARE} OR {_NO_VERSION})"
+_IDENTITY = "content item identity requires source_object_id, normalized source_uri, or both source_container and source_path"
+
+
+def _without_key(table: str, rows: str, *own: tuple[str, str], any_: str = _ANY) -> str:
+    """Rows of a stage table without a key: for their own fault, else for want of the version's."""
+    reason = "CASE " + " ".join(f"WHEN {when} THEN '{text}'" for when, text in (*own, *([(any_, "content_version_key is required")] if any_ else []))) + " END"
+    return f"SELECT 'STAGE_CONTENT_{_STAGE[table]}' AS table_name, i, {reason} AS reason FROM {rows}"
+
+
+_REJECTED = [
+    _without_key("items", "n1", (_LOST, "source_system is required"), (_NAMELESS, _IDENTITY), any_=""),
+    _without_key("versions", "n1", (_LOST, "source_system is required"), (_NAMELESS, _IDENTITY), (_NO_VERSION, "content version identity requires source_version_id, content_fingerprint, or source_file_hash"), any_=""),
+    _without_key("bodies", "(SELECT * FROM b WHERE NOT (i % 13 = 4 AND o = 1))", ("i % 6 = 1 AND o = 4", "body_role is required"), ("i % 9 = 2 AND o = 5", "content body key requires normalized_body_hash or body_hash")),
+    _without_key("assets", "a"), _without_key("scopes", "sc"), _without_key("links", "l", ("i % 8 = 3 AND coalesce(id, '') = 'INV-2'", "content entity link key requires entity_id or entity_name")),
+    _without_key("dates", "dt", ("i % 10 = 7 AND kind = 'SOURCE_CREATED'", "content date key requires date_value, timestamp_value, period_start/end, or date_text")),
+]
+_FAULTS = (
+    ("i % 17 = 9", " is not JSON"), ("i % 11 = 3", ".bundle_id must have 1 or more characters"), ("i % 11 = 4", ".bundle_id must be a string"), ("i % 5 = 1", ".source.source_type is required"),
+    ("i % 6 = 2", ".source requires source_object_id, or source_uri, or source_container and source_path"), ("i % 7 = 3", ".source.colour is not allowed"),
+    ("i % 9 = 4", ".content.assets[0].asset_type must be one of IMAGE, CHART, SCREENSHOT, TABLE_IMAGE, ATTACHMENT, UNKNOWN"), ("i % 10 = 5", ".content.assets[1].asset_path is required"),
+    ("i % 8 = 6", ".expected.edge_case_labels[1] must be one of strategy_level, portfolio_level, single_investment, multi_investment, undated, image_heavy, duplicate_or_reexport, revised, moved_file, mixed_scope, unresolved_entity_mentions"),
+    ("i % 13 = 5", ".metadata must be an object"),
+)
+_NEW = "((i % 2 = 1 AND i % 3 = 0) OR i % 4 = 2)"  # a second version
+_COPY = "(i % 4 = 2 AND i % 3 <> 0)"  # which is a copy of the first
+_MANY = "CASE WHEN i % 5 = 0 THEN 1 WHEN i % 4 = 0 THEN 6 ELSE 5 END"
+_REASON = "CASE WHEN i % 4 = 1 THEN 'SOURCE_EXPORT' ELSE 'INITIAL_INGEST' END"
+
 ORACLE_SQL = {
+    "ingest_contract_errors": "WITH n AS (SELECT doc_id AS i FROM documents) " + " UNION ALL ".join(
+        f"SELECT i AS bundle_index, 'bundles[' || i || ']{text}' AS error FROM n WHERE {when}{'' if k == 0 else ' AND i % 17 <> 9'}" for k, (when, text) in enumerate(_FAULTS)
+    ),
+    "ingest_rejected": f"{_BASE} SELECT table_name, i::VARCHAR AS bundle_id, reason, count(*) AS rows FROM ({' UNION ALL '.join(_REJECTED)}) WHERE reason IS NOT NULL GROUP BY ALL",
+    "ingest_two_runs": f"""{_BASE} SELECT item AS content_item_key, 1::BIGINT AS version_number, CASE WHEN {_NEW} AND NOT {_COPY} THEN 'SUPERSEDED' ELSE 'CURRENT' END AS version_status, {_REASON} AS version_reason,
+        NOT ({_NEW} AND NOT {_COPY}) AS is_current, CASE WHEN {_NEW} THEN 'RUN-1' ELSE 'RUN-2' END AS ingestion_run_id, ({_NEW} AND NOT {_COPY}) AS superseded, false AS duplicate, NOT ({_NEW} AND NOT {_COPY}) AS pointed,
+        ({_MANY} + CASE WHEN i % 4 = 0 AND i % 3 = 0 THEN CASE WHEN i % 5 = 0 THEN 1 ELSE 2 END ELSE 0 END)::BIGINT AS bodies FROM k
+        UNION ALL SELECT item, 2, CASE WHEN {_COPY} THEN 'DUPLICATE' ELSE 'CURRENT' END, CASE WHEN {_COPY} THEN 'RE_EXPORT_IDENTICAL' ELSE {_REASON} END, NOT {_COPY}, 'RUN-2', false, {_COPY}, NOT {_COPY}, {_MANY} FROM k WHERE {_NEW}""",
     "ingest_bodies": f"{_BASE} SELECT d AS bundle_id, o::BIGINT AS section_order, role AS body_role, lvl AS section_level, head AS section_title, path AS section_path, up AS parent_path, sha256(body) AS body_hash FROM b",
     "ingest_assets": f"""{_BASE} SELECT d AS bundle_id, o::BIGINT AS asset_order, path AS asset_path, file AS file_name, NULL::VARCHAR AS source_asset_uri, kind AS asset_type, hash AS asset_hash, sec::BIGINT AS section_order,
         anchor AS body_anchor, alt AS alt_text, avail AS availability, ref AS reference_kind FROM a""",

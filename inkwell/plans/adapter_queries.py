@@ -3,15 +3,20 @@ headings, references, names and dates that vary with doc_id; every fifth note is
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import extract, staging
 from ..operators.merge import merge_children, merge_items
 from ..operators.sections import bodies as parsed_bodies
-from ..schemas import KEYS, columns
+from ..schemas import KEYS, empty_tables
+from ..operators.ingest import TABLES, ingest
+from ..sources.contract import bundle_faults
 from ..sources.manifest import bundle_errors
-from ..sources.shared import settled
+from ..sources.shared import settled, shared_folder
+from ..sources.snapshots import read_snapshot
 from .adapter_oracle import ORACLE_SQL as ORACLE_SQL
 
 RUN = "RUN-7"
@@ -102,6 +107,55 @@ def manifest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle_errors(rows.select(F.col("i").alias("bundle_index"), name.alias("bundle_id"), source.alias("source"), content.alias("content")))
 
 
+def contract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a bundle of a manifest, in raw JSON with its whole text, with faults by its number: see the SQL."""
+    i, d = F.col("doc_id"), F.col("doc_id").cast("string")
+    word = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))
+    some = lambda n, k, x, other="": F.when(F.pmod(i, F.lit(n)) == k, x).otherwise(other)
+    raw = F.concat(
+        F.lit('{"bundle_id":'), F.when(i % 11 == 3, '""').when(i % 11 == 4, "7").otherwise(F.concat(F.lit('"'), d, F.lit('"'))), F.lit(',"source":{"source_system":"s"'), some(5, 1, "", ',"source_type":"note"'),
+        some(6, 2, ',"source_container":"c"', ',"source_uri":"u"'), some(7, 3, ',"colour":1'), F.lit('},"content":{"markdown_path":"n.md","assets":[{"asset_path":"a.png","asset_type":"'), some(9, 4, "ODD", "IMAGE"),
+        F.lit('"}'), some(10, 5, ',{"asset_id":"x"}'), F.lit(']},"expected":{"edge_case_labels":["undated"'), some(8, 6, ',"bad"'), F.lit('],"notes":'), F.substring(word, F.lit(6), F.length(word) - 6), F.lit("}"),
+        some(13, 5, ',"metadata":[1]'), some(17, 9, "", "}"),
+    )
+    return bundle_faults(spark.read.parquet(f"{sf_dir}/documents.parquet").select(i.alias("bundle_index"), raw.alias("raw")))
+
+
+def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all stage tables without a key, after parts of keys were taken from some notes: see the SQL."""
+    i = F.col("bundle_id").cast("bigint")
+    lost, nameless = i % 7 == 3, (i % 11 == 2) & (i % 7 != 3)
+    none = F.lit(None).cast("string")
+    own, rows = notes(spark, sf_dir), _bodies(spark, sf_dir)
+    links = settled(extract.entity_links(rows, catalog(spark)))
+    taken = own.withColumns({"source_system": F.when(~lost, F.col("source_system"))} | {c: F.when(~nameless, F.col(c)) for c in ("source_object_id", "source_uri", "source_container")})
+    cut = rows.filter(~((i % 13 == 4) & (F.col("section_order") == 1))).withColumn("body_role", F.when(~((i % 6 == 1) & (F.col("section_order") == 4)), F.col("body_role")))
+    cut = cut.withColumn("body_text", F.when(~((i % 9 == 2) & (F.col("section_order") == 5)), F.col("body_text")))
+    second = (i % 8 == 3) & F.coalesce(F.col("entity_id") == "INV-2", F.lit(False))
+    bare = links.withColumns({"entity_id": F.when(~second, F.col("entity_id")), "entity_name": F.when(~second, F.col("entity_name"))})
+    dates = extract.date_candidates(rows, own).withColumns({c: F.when(~((i % 10 == 7) & (F.col("date_type") == "SOURCE_CREATED")), F.col(c)).otherwise(none) for c in ("timestamp_value", "date_text")})
+    found = staging.staged(taken, cut, extract.assets(rows, given(spark, sf_dir)), extract.scopes(rows, links), bare, dates, RUN)["rejected"]
+    return found.groupBy("table_name", "bundle_id", "reason").agg(F.count("*").alias("rows"))
+
+
+def two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions after two runs over persisted snapshots: in the second every third note has a line more, and every
+    fourth a new version id."""
+    folder = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
+    first, i = notes(spark, sf_dir), F.col("bundle_id").cast("bigint")
+    again = first.withColumns({"text": F.when(i % 3 == 0, F.concat("text", F.lit("\nrevised"))).otherwise(F.col("text")), "source_version_id": F.when(i % 4 == 2, "v2").otherwise(F.col("source_version_id"))})
+    for run, rows in (("RUN-1", first), ("RUN-2", again)):
+        ingest(spark, folder, rows, catalog(spark), given(spark, sf_dir), run)
+    t = read_snapshot(spark, folder, TABLES)
+    bodies = t["bodies"].groupBy("content_version_id").agg(F.count("*").alias("bodies"))
+    pointers = t["pointers"].select("content_id", F.col("current_content_version_id").alias("_now"))
+    rows = t["versions"].join(t["items"].select("content_id", "content_item_key"), "content_id").join(pointers, "content_id", "left").join(bodies, "content_version_id", "left")
+    return rows.select(
+        "content_item_key", "version_number", "version_status", "version_reason", "is_current", "ingestion_run_id", F.col("superseded_by_content_version_id").isNotNull().alias("superseded"),
+        F.col("duplicate_of_content_version_id").isNotNull().alias("duplicate"), (F.col("_now") == F.col("content_version_id")).alias("pointed"), "bodies",
+    )
+
+
 def stage_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and id of every stage row."""
     ids = {t: KEYS[t][1] for t in KEYS}
@@ -140,7 +194,7 @@ def _merged(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table after the merge of all stage rows; items of every third note are there before, approved but inactive."""
     first = {"items": (), "bodies": (), "assets": ("bodies",), "scopes": (), "links": ("bodies", "assets"), "dates": ("bodies",)}[table]
     stage = _stage(spark, sf_dir, *dict.fromkeys(("items", "versions", *first, table)))
-    empty = {t: spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in columns(t))) for t in KEYS}
+    empty = empty_tables(spark)
     ready = stage["items"].withColumns({"review_status": F.lit(None).cast("string"), "is_active": F.lit(None).cast("boolean")})
     held = ready.filter(F.col("item_identity_method") == "NORMALIZED_URI")
     held = held.withColumns({"review_status": F.lit("APPROVED"), "is_active": F.lit(False), "first_seen_at": F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"), "source_title": F.lit("old")})
@@ -168,7 +222,7 @@ def _child(table: str, *shown: str):
 QUERIES = {
     f"ingest_{f.__name__}": f
     for f in (
-        bodies, assets, entity_links, scopes, date_candidates, manifest_errors, stage_keys, stage_bodies, stage_issues, merged_items, _child("bodies", "parent_content_body_id"), _child("assets", "content_body_id"),
+        bodies, assets, entity_links, scopes, date_candidates, manifest_errors, contract_errors, rejected, two_runs, stage_keys, stage_bodies, stage_issues, merged_items, _child("bodies", "parent_content_body_id"), _child("assets", "content_body_id"),
         _child("scopes", "scope_type"), _child("links", "content_body_id", "content_asset_id"), _child("dates", "content_body_id", "date_type"),
     )
 }

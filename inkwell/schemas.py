@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
 _AUDIT = "created_at timestamp_ntz, updated_at timestamp_ntz"
 
 CANONICAL: dict[str, str] = {
@@ -70,3 +72,29 @@ BODY_RANK = {"PRIMARY": 1, "NORMALIZED_TEXT": 2, "FULL_TEXT": 3, "TRANSCRIPT": 4
 
 def columns(table: str) -> list[tuple[str, str]]:
     return [tuple(c.split()) for c in CANONICAL[table].replace("\n", " ").split(",")]
+
+
+def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
+    return {t: spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in columns(t))) for t in CANONICAL}
+
+
+#: What stage tables have besides the canonical columns, and canonical columns that they lack.
+_STAGE_EXTRA = {
+    "items": {"source_path_normalized": "string"},
+    "versions": {"content_item_key": "string", "version_number_candidate": "bigint", "promote_to_current": "boolean", "current_selection_reason": "string", "proposed_current_from_at": "timestamp_ntz"},
+    "bodies": {"parent_content_body_key": "string"}, "assets": {"content_body_key": "string"}, "links": {"content_body_key": "string", "content_asset_key": "string"}, "dates": {"content_body_key": "string"},
+}
+_STAGE_LACKS = {
+    "versions": ("version_number", "previous_content_version_id", "superseded_by_content_version_id", "duplicate_of_content_version_id", "duplicate_reason", "is_current", "current_from_at", "current_to_at"),
+    "bodies": ("parent_content_body_id",),
+}
+#: Stage columns that hold text until the merge reads it as a date or timestamp.
+_STAGE_TEXT = ("date_value", "timestamp_value", "period_start_date", "period_end_date")
+
+
+def stage_columns(table: str) -> list[tuple[str, str]]:
+    """Columns of a stage table: the run, the canonical ones but for audit times, keys of item, version and parents, and
+    the stage's own."""
+    own = {c: "string" if c in _STAGE_TEXT else t for c, t in columns(table) if c not in ("created_at", "updated_at", *_STAGE_LACKS.get(table, ()))}
+    keys = {"content_item_key": "string", "content_version_key": "string"} if table in CHILDREN else {}
+    return list(({"ingestion_run_id": "string"} | own | keys | _STAGE_EXTRA.get(table, {}) | {"staged_at": "timestamp_ntz", "stage_row_hash": "string", "stage_payload_hash": "string"}).items())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from ..functions.text import blank_to_null
 from ..operators.extract import name_of
 
 _MAP = "map<string,string>"
+#: Fields of manifests.
 SOURCE = (
     "source_system string, source_object_id string, source_container string, source_path string, source_uri string, source_reference string, source_type string, source_subtype string, source_title string, "
     f"source_created_at string, source_modified_at string, source_exported_at string, source_version_id string, source_export_id string, provenance {_MAP}, metadata {_MAP}"
@@ -28,13 +32,6 @@ EXPECTED = (
 )
 BUNDLE = f"struct<bundle_id:string, source:{_struct(SOURCE)}, content:struct<markdown_path:string,markdown_sha256:string,source_file_hash:string,assets:array<{_struct(ASSET)}>,metadata:{_MAP}>, expected:{EXPECTED}, metadata:{_MAP}>"
 MANIFEST = f"manifest_version string, adapter_name string, adapter_version string, pilot struct<name:string,description:string,corpus_goal_min:bigint,corpus_goal_max:bigint,notes:string>, bundles array<{BUNDLE}>"
-#: What a bundle may be labelled as, and the types of assets.
-LABELS = (
-    "strategy_level", "portfolio_level", "single_investment", "multi_investment", "undated", "image_heavy", "duplicate_or_reexport", "revised", "moved_file", "mixed_scope", "unresolved_entity_mentions",
-)
-ASSET_TYPES = ("IMAGE", "CHART", "SCREENSHOT", "TABLE_IMAGE", "ATTACHMENT", "UNKNOWN")
-
-
 class ManifestError(ValueError):
     """All that is wrong with a manifest."""
 
@@ -86,67 +83,108 @@ def bundle_errors(bundles: DataFrame) -> DataFrame:
     return out.unionByName(again)
 
 
-def contract_errors(bundles: DataFrame) -> DataFrame:
-    """(bundle_index, error) of values outside the contract's enumerations: labels and asset types."""
-    at = F.concat(F.lit("bundles["), F.col("bundle_index").cast("string"), F.lit("]"))
-    bad = F.filter("expected.edge_case_labels", lambda x: ~x.isin(*LABELS))
-    labels = F.transform(bad, lambda x: F.concat(at, F.lit(".expected.edge_case_labels has "), x))
-    kinds = F.filter(F.transform("content.assets", lambda a: a["asset_type"]), lambda x: ~x.isin(*ASSET_TYPES))
-    types = F.transform(kinds, lambda x: F.concat(at, F.lit(".content.assets has type "), x))
-    none = F.array().cast("array<string>")
-    return bundles.select("bundle_index", F.explode(F.concat(F.coalesce(labels, none), F.coalesce(types, none))).alias("error"))
-
-
 def require_valid(errors: DataFrame, shown: int = 100) -> None:
     """Raises with the first errors, if there are any."""
     if found := [r["error"] for r in errors.select("error").limit(shown).collect()]:
         raise ManifestError("; ".join(sorted(found)))
 
 
-def read_bundles(bundles: DataFrame, files: DataFrame, ingested_at: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(readable bundles, quarantine) of bundle rows and files (path, content as bytes), matched by relative path.
+def plain_path(c: Column) -> Column:
+    """A relative path without `.` parts, double slashes, and parts that a `..` takes back; the case stays."""
+    parts = F.filter(F.split(blank_to_null(c), "/+"), lambda p: (p != "") & (p != "."))
+    back = lambda done, p: (p == "..") & (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1)) != "..")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, p: F.when(back(done, p), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(p))))
+    return F.nullif(F.array_join(kept, "/"), F.lit(""))
+
+
+def wanted_paths(bundles: DataFrame) -> DataFrame:
+    """(path) of the files whose content a run reads: notes, and OCR and caption texts beside assets."""
+    notes = bundles.select(plain_path(F.col("content.markdown_path")).alias("path"))
+    beside = bundles.select(F.explode("content.assets").alias("a")).select(F.explode(F.array(plain_path(F.col("a.ocr_text_path")), plain_path(F.col("a.caption_text_path")))).alias("path"))
+    return notes.unionByName(beside).filter("path is not null").distinct()
+
+
+def _relative(uri: Column, folder: str) -> Column:
+    base = F.regexp_replace(F.lit(folder.rstrip("/") + "/"), "^[a-z]+:/*", "/")
+    plain = F.regexp_replace(uri, "^[a-z]+:/*", "/")
+    return F.substring(plain, F.length(base) + 1, F.length(plain))
+
 
-    Readable ones have text and title (the source's, else the file's stem); a bundle whose file is missing or isn't
-    UTF-8 goes to the quarantine with the reason. One join on the path; the bytes move once."""
-    found = bundles.withColumn("_path", F.col("content.markdown_path")).join(files.select(F.col("path").alias("_path"), F.col("content").alias("_bytes")), "_path", "left")
+def files_under(spark: SparkSession, folder: str) -> DataFrame:
+    """(path relative to folder, uri, content) of all files below it; content is only read if it is used."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return raw.select(_relative(F.col("path"), folder).alias("path"), F.col("path").alias("uri"), "content")
+
+
+def contents_of(files: DataFrame, wanted: DataFrame, folder: str, batch: int = 50_000) -> DataFrame:
+    """(path, content) of the wanted ones of files_under(folder), in two steps: the paths are joined first, then only
+    the files found are opened, so that a folder full of images costs no more than its names. A file source is planned
+    from a list of paths: `batch` at a time go through the driver, which lists the folder in any case."""
+    spark, found = files.sparkSession, files.join(wanted.select("path"), "path", "left_semi").select("uri")
+    parts: list[list[str]] = [[]]
+    for row in found.toLocalIterator():
+        if len(parts[-1]) == batch:
+            parts.append([])
+        parts[-1].append(row["uri"])
+    read = [spark.read.format("binaryFile").load(uris).select(_relative(F.col("path"), folder).alias("path"), "content") for uris in parts if uris]
+    return reduce(DataFrame.unionByName, read, spark.createDataFrame([], "path string, content binary"))
+
+
+def read_bundles(bundles: DataFrame, contents: DataFrame, ingested_at: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(readable bundles, quarantine) of bundle rows and contents (path, content as bytes), matched by relative path.
+
+    Readable ones have text and title (the source's, else the file's stem); a bundle that lacks what is required, has an
+    asset without a path, or whose file is missing or isn't UTF-8 goes to the quarantine with the first reason. One join
+    on the path; the bytes move once."""
+    found = bundles.withColumn("_path", plain_path(F.col("content.markdown_path"))).join(contents.select(F.col("path").alias("_path"), F.col("content").alias("_bytes")), "_path", "left")
+    given = F.col("content.markdown_path")
     text = F.when(F.is_valid_utf8(F.col("_bytes").cast("string")), F.col("_bytes").cast("string"))
-    reason = F.when(blank_to_null(F.col("bundle_id")).isNull(), F.lit("bundle_id is required")).when(blank_to_null(F.col("_path")).isNull(), F.lit("markdown_path is required"))
-    reason = reason.when(F.col("_bytes").isNull(), F.concat(F.lit("markdown file does not exist: "), "_path")).when(text.isNull(), F.concat(F.lit("markdown file is not valid UTF-8 text: "), "_path"))
+    bare = F.coalesce(F.exists("content.assets", lambda a: blank_to_null(a["asset_path"]).isNull()), F.lit(False))
+    reason = F.when(blank_to_null(F.col("bundle_id")).isNull(), F.lit("bundle.bundle_id is required")).when(F.col("source").isNull(), F.lit("bundle.source must be an object"))
+    reason = reason.when(F.col("content").isNull(), F.lit("bundle.content must be an object")).when(blank_to_null(given).isNull(), F.lit("bundle.content.markdown_path is required"))
+    reason = reason.when(F.col("_bytes").isNull(), F.concat(F.lit("markdown file does not exist: "), given)).when(text.isNull(), F.concat(F.lit("markdown file is not valid UTF-8 text: "), given))
+    reason = reason.when(bare, F.lit("bundle.content.assets[].asset_path is required"))
     stem = F.regexp_replace(name_of(F.col("_path")), r"(?<=.)\.[^.]*$", "")
     rows = found.withColumns({"text": text, "reason": reason, "title": F.coalesce(blank_to_null(F.col("source.source_title")), blank_to_null(stem), F.col("bundle_id")), "ingested_at": F.lit(ingested_at)})
     ok = rows.filter("reason is null").select("bundle_id", "source", "content", "title", "text", "ingested_at")
     return ok, rows.filter("reason is not null").select("bundle_id", "reason")
 
 
-def given_assets(bundles: DataFrame, files: DataFrame) -> DataFrame:
-    """Assets that manifests name: (bundle_id, asset_order, ..., available, ocr_text, caption_text); a missing or
-    undecodable text beside an asset is null."""
+def given_assets(bundles: DataFrame, files: DataFrame, contents: DataFrame) -> DataFrame:
+    """Assets that manifests name: (bundle_id, asset_order, asset_id, ..., available, ocr_text, caption_text), available
+    if files has their path; a missing or undecodable text beside an asset is null."""
     rows = bundles.select("bundle_id", F.posexplode("content.assets").alias("i", "a"))
-    rows = rows.select("bundle_id", (F.col("i") + 1).cast("bigint").alias("asset_order"), *(F.col(f"a.{c}").alias(c) for c in ("asset_path", "source_asset_uri", "asset_type", "asset_hash", "ocr_text_path", "caption_text_path")),
-                       F.coalesce(blank_to_null(F.col("a.file_name")), name_of(F.col("a.asset_path"))).alias("file_name"))
-    there = files.select(F.col("path").alias("asset_path"), F.lit(True).alias("available"))
+    rows = rows.select("bundle_id", (F.col("i") + 1).cast("bigint").alias("asset_order"), *(F.col(f"a.{c}").alias(c) for c in ("asset_path", "source_asset_uri", "asset_type", "asset_hash")), blank_to_null(F.col("a.asset_id")).alias("asset_id"),
+                       F.coalesce(blank_to_null(F.col("a.file_name")), name_of(F.col("a.asset_path"))).alias("file_name"), plain_path(F.col("a.asset_path")).alias("_asset"),
+                       *(plain_path(F.col(f"a.{c}_path")).alias(f"_{c}") for c in ("ocr_text", "caption_text")))
     text = F.col("content").cast("string")
-    beside = files.select("path", F.when(F.is_valid_utf8(text), text).alias("t"))
+    beside = contents.select("path", F.when(F.is_valid_utf8(text), text).alias("t"))
     for c in ("ocr_text", "caption_text"):
-        rows = rows.join(beside.select(F.col("path").alias(f"{c}_path"), F.col("t").alias(c)), f"{c}_path", "left")
-    return rows.join(there, "asset_path", "left").withColumn("available", F.coalesce("available", F.lit(False)))
+        rows = rows.join(beside.select(F.col("path").alias(f"_{c}"), F.col("t").alias(c)), f"_{c}", "left").drop(f"_{c}")
+    there = files.select(F.col("path").alias("_asset"), F.lit(True).alias("available"))
+    return rows.join(there, "_asset", "left").drop("_asset").withColumn("available", F.coalesce("available", F.lit(False)))
 
 
-def files_under(spark: SparkSession, folder: str) -> DataFrame:
-    """(path relative to folder, content) of all files below it."""
-    base = F.regexp_replace(F.lit(folder.rstrip("/") + "/"), "^[a-z]+:/*", "/")
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    plain = F.regexp_replace("path", "^[a-z]+:/*", "/")
-    return raw.select(F.substring(plain, F.length(base) + 1, F.length(plain)).alias("path"), "content")
+def notes_of(read: DataFrame, staged_at: Column) -> DataFrame:
+    """read_bundles()'s readable bundles as notes: source columns side by side, with staged_at."""
+    given = ("source_system", "source_object_id", "source_container", "source_path", "source_uri", "source_reference", "source_type", "source_subtype", "source_created_at", "source_modified_at", "source_exported_at", "source_version_id", "source_export_id")
+    provenance = F.coalesce(F.to_json("source.provenance"), F.to_json("source.metadata"), F.lit("{}"))
+    return read.select("bundle_id", "title", "text", *(F.col(f"source.{c}").alias(c) for c in given), provenance.alias("source_provenance"), F.col("content.source_file_hash").alias("source_file_hash"),
+                       F.col("content.markdown_path").alias("markdown_path"), "ingested_at", staged_at.alias("staged_at"))
+
 
+def _partition(run: str) -> str:
+    return "ingestion_run_id=" + quote(run, safe="-_. ")
 
-def write_stage(tables: dict[str, DataFrame], folder: str) -> None:
-    """Stage tables as JSON lines, a folder each, partitioned by run."""
+
+def write_stage(tables: dict[str, DataFrame], folder: str, run: str) -> None:
+    """One run's stage tables as JSON lines with their nulls, a folder each and in it one of the run. A rerun replaces
+    the run's rows, also where it has none any more; other runs' files aren't touched."""
     for name, rows in tables.items():
-        rows.write.mode("append").partitionBy("ingestion_run_id").json(f"{folder}/{name}")
+        own = rows.filter(F.col("ingestion_run_id") == run).drop("ingestion_run_id")
+        own.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/{name}/{_partition(run)}")
 
 
 def stage_of_run(spark: SparkSession, folder: str, name: str, schema: str, run: str) -> DataFrame:
-    """One run's rows of a stage table: other runs' partitions aren't read."""
-    return spark.read.schema(schema).json(f"{folder}/{name}").filter(F.col("ingestion_run_id") == run)
-
+    """One run's rows of a stage table: other runs' folders aren't read."""
+    return spark.read.schema(schema).json(f"{folder}/{name}/{_partition(run)}").withColumn("ingestion_run_id", F.lit(run))

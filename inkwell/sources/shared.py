@@ -16,6 +16,12 @@ def checkpoint_folder(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="inkwell-ckpt-"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share."""
+    checkpoint_folder(spark)
+    return (spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df written once, with a plan that only reads it; Spark removes the files with the last reference."""
     checkpoint_folder(df.sparkSession)
