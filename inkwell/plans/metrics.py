@@ -25,7 +25,7 @@ def pilot(t: Tables, run: str) -> DataFrame:
     return current_versions(t).filter(F.col("ingestion_run_id") == run)
 
 
-def _issues_of(t: Tables, run: str, codes: tuple[str, ...]) -> DataFrame:
+def issues_of(t: Tables, run: str, codes: tuple[str, ...]) -> DataFrame:
     return of_current(pilot(t, run).select(*KEYS, "source_title"), review_issues(t).filter(F.col("issue_code").isin(*codes)))
 
 
@@ -34,51 +34,51 @@ def m1_scope_counts(t: Tables, run: str) -> DataFrame:
 
 
 def m2_issue_counts(t: Tables, run: str) -> DataFrame:
-    return _issues_of(t, run, REQUIRED_CODES).groupBy("issue_code").agg(F.count("*").alias("issue_count"))
+    return issues_of(t, run, REQUIRED_CODES).groupBy("issue_code").agg(F.count("*").alias("issue_count")).orderBy("issue_code")
 
 
 def m3_issue_detail(t: Tables, run: str) -> DataFrame:
-    return _issues_of(t, run, DETAIL_CODES).select("source_title", "content_id", F.col("own_version_id").alias("content_version_id"), "issue_code", "severity", "issue_detail", "issue_context")
+    return issues_of(t, run, DETAIL_CODES).select("source_title", "content_id", F.col("own_version_id").alias("content_version_id"), "issue_code", "severity", "issue_detail", "issue_context").orderBy("severity", F.asc_nulls_last("source_title"), "issue_code")
 
 
 def m4_blocked_notes(t: Tables, run: str) -> DataFrame:
     queue = review_queue(t).filter("p1_issue_count > 0").select("content_id", "source_title", "review_reasons", "p1_issue_count", "issue_count")
-    return queue.join(pilot(t, run).select("content_id"), "content_id")
+    return queue.join(pilot(t, run).select("content_id"), "content_id").orderBy(F.desc("p1_issue_count"), F.asc_nulls_last("source_title"))
 
 
 def m5_note_counts(t: Tables, run: str) -> DataFrame:
     own = pilot(t, run).select(F.col("content_id").alias("source_content_id"), F.col("content_version_id").alias("source_content_version_id"))
     kinds = {"investment": investment_notes, "portfolio": portfolio_notes, "strategy": strategy_notes}
     arms = [f(t).join(own, ["source_content_id", "source_content_version_id"]).agg(F.count("*").alias("derived_note_count")).select(F.lit(k).alias("note_type"), "derived_note_count") for k, f in kinds.items()]
-    return reduce(DataFrame.unionByName, arms)
+    return reduce(DataFrame.unionByName, arms).orderBy("note_type")
 
 
-def _links_of(t: Tables, run: str, *extra: str) -> DataFrame:
+def links_of(t: Tables, run: str, *extra: str) -> DataFrame:
     return of_current(pilot(t, run).select(*KEYS, "source_title", *extra), t["links"])
 
 
 def m6_unresolved_mentions(t: Tables, run: str) -> DataFrame:
-    return _links_of(t, run).filter("entity_id is null and entity_name is not null").select(
+    return links_of(t, run).filter("entity_id is null and entity_name is not null").select(
         "source_title", "content_id", F.col("own_version_id").alias("content_version_id"), "entity_type", "entity_name", "mention_text", "mention_context", "confidence",
         "review_status", "content_body_id",
-    )
+    ).orderBy(*map(F.asc_nulls_last, ("source_title", "entity_type", "entity_name")))
 
 
 def m7_missing_anchors(t: Tables, run: str) -> DataFrame:
     sure = reduce(lambda a, b: a | b, [r.sure() for r in RULES.values()])
-    return _links_of(t, run).filter(sure & F.col("content_body_id").isNull()).select(
+    return links_of(t, run).filter(sure & F.col("content_body_id").isNull()).select(
         "source_title", "content_id", F.col("own_version_id").alias("content_version_id"), "entity_type", "entity_id", "entity_name", "confidence", "review_status", "link_role",
         "content_body_id",
-    )
+    ).orderBy(*map(F.asc_nulls_last, ("source_title", "entity_type", "entity_name")))
 
 
 def m8_missing_dates(t: Tables, run: str) -> DataFrame:
-    return pilot(t, run).select("source_title", *KEYS).join(selected_dates(t).select(*KEYS), KEYS, "left_anti").select("source_title", *KEYS)
+    return pilot(t, run).select("source_title", *KEYS).join(selected_dates(t).select(*KEYS), KEYS, "left_anti").select("source_title", *KEYS).orderBy(F.asc_nulls_last("source_title"))
 
 
 def m9_entity_examples(t: Tables, run: str, expected: DataFrame) -> DataFrame:
     """Resolved links that no label (content_item_key, entity_type, entity_name) expects, and labels without a link."""
-    actual = _links_of(t, run, "content_item_key").filter("entity_name is not null and entity_id is not null").select(
+    actual = links_of(t, run, "content_item_key").filter("entity_name is not null and entity_id is not null").select(
         "content_item_key", "source_title", F.upper("entity_type").alias("entity_type"), F.lower("entity_name").alias("entity_name"), "entity_id", "review_status", "confidence"
     ).distinct()
     wanted = expected.select("content_item_key", F.upper("entity_type").alias("entity_type"), F.lower("entity_name").alias("entity_name"))
@@ -86,7 +86,7 @@ def m9_entity_examples(t: Tables, run: str, expected: DataFrame) -> DataFrame:
     extra = actual.join(wanted, on, "left_anti").withColumn("example_type", F.lit("false_positive"))
     titles = pilot(t, run).select("content_item_key", "source_title")
     missed = wanted.join(titles, "content_item_key").join(actual.select(*on), on, "left_anti").withColumns({"example_type": F.lit("false_negative")} | {c: F.lit(None).cast("string") for c in rest} | {"confidence": F.lit(None).cast("double")})
-    return extra.unionByName(missed)
+    return extra.unionByName(missed).orderBy("example_type", *map(F.asc_nulls_last, ("source_title", "entity_type", "entity_name")))
 
 
 def a1_without_investment(t: Tables, title: str) -> DataFrame:
@@ -160,7 +160,7 @@ SCHEMA, ADAPTER, READY = "needs schema/contract fixes", "needs adapter fixes", "
 
 def readiness(t: Tables, run: str, expected: DataFrame) -> DataFrame:
     """One row: the counts behind the recommendation, and the recommendation."""
-    issues = _issues_of(t, run, tuple(ISSUES)).agg(
+    issues = issues_of(t, run, tuple(ISSUES)).agg(
         F.count_if(F.col("issue_code").isin(*STRUCTURAL)).alias("structural_issues"), F.count_if(F.col("severity") == "P1").alias("p1_issues")
     )
     labels = expected.agg(F.count("*").alias("labels"))
@@ -170,18 +170,3 @@ def readiness(t: Tables, run: str, expected: DataFrame) -> DataFrame:
     out = rows[0].join(rows[1], "one").join(rows[2], "one").drop("one")
     advice = F.when(F.col("structural_issues") > 0, SCHEMA).when((F.col("p1_issues") > 0) | (F.col("labels") == 0) | (F.col("false_positives") + F.col("false_negatives") > 0), ADAPTER).otherwise(READY)
     return out.withColumn("recommendation", advice)
-
-
-def render_report(t: Tables, run: str, expected: DataFrame, title: str = "Content validation report", examples: int = 10) -> str:
-    """A Markdown report of a run: counts, and at most `examples` rows a section."""
-    advice = readiness(t, run, expected).first()
-    parts = [f"# {title}", "", f"Recommendation: **{advice['recommendation']}**", ""]
-    sections = {"Scope": m1_scope_counts(t, run), "Issues": m2_issue_counts(t, run).orderBy("issue_code"), "Derived notes": m5_note_counts(t, run).orderBy("note_type")}
-    sections |= {
-        "Blocked notes": m4_blocked_notes(t, run).orderBy(F.desc("p1_issue_count"), "source_title"), "Missing dates": m8_missing_dates(t, run).orderBy("source_title"),
-        "Entity examples": m9_entity_examples(t, run, expected).orderBy("example_type", "source_title", "entity_type", "entity_name"),
-    }
-    for name, df in sections.items():
-        parts += [f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-        parts += ["| " + " | ".join("" if v is None else str(v) for v in row) + " |" for row in df.limit(examples).collect()] + [""]
-    return "\n".join(parts)

@@ -159,6 +159,24 @@ def _views() -> dict[str, str]:
     out["examples"] = f"""SELECT 'false_positive' AS example_type, * FROM actual a WHERE NOT EXISTS (SELECT 1 FROM expected e WHERE {gone})
         UNION ALL BY NAME SELECT 'false_negative' AS example_type, e.content_item_key, p.source_title, upper(e.entity_type) AS entity_type, lower(e.entity_name) AS entity_name
         FROM expected e JOIN pilot p USING (content_item_key) WHERE NOT EXISTS (SELECT 1 FROM actual a WHERE {gone})"""
+    # the report: title, content_id and a last key give the order in a section
+    line = "'- `' || issue_code || '` on `' || coalesce(c.source_title, c.content_id) || '`: ' || issue_detail"
+    sections = " ".join(f"WHEN issue_code IN {codes} THEN '{name}'" for name, codes in (
+        ("Duplicate Item/Version Key Issues", "('DUPLICATE_CONTENT_ITEM_KEY', 'DUPLICATE_CONTENT_VERSION_KEY')"), ("Missing Primary Body Issues", "('MISSING_PRIMARY_BODY')"),
+        ("Unresolved Entity Mentions", "('UNRESOLVED_ENTITY_MENTIONS')"), ("Missing Operational Dates", "('MISSING_OPERATIONAL_DATE')"),
+        ("Missing Body Anchors", "('MISSING_INVESTMENT_BODY_ANCHORS', 'MISSING_PORTFOLIO_BODY_ANCHORS', 'MISSING_STRATEGY_BODY_ANCHORS')"),
+    ))
+    out["labelled"] = "SELECT content_item_key, content_id, coalesce(source_title, content_id) AS title FROM pilot WHERE content_item_key IN (SELECT content_item_key FROM expected)"
+    out["known"] = f"SELECT c.content_item_key, upper(l.entity_type) AS kind, lower(l.entity_name) AS name, bool_or(l.entity_id IS NOT NULL) AS resolved, bool_or(l.entity_id IS NULL) AS open FROM links l JOIN pilot c ON {_OURS.format('l')} WHERE l.entity_name IS NOT NULL GROUP BY ALL"
+    out["wished"] = "SELECT DISTINCT content_item_key, upper(entity_type) AS kind, lower(entity_name) AS name FROM expected"
+    out["said"] = f"""SELECT CASE {sections} END AS section, lower(coalesce(c.source_title, c.content_id)) AS k1, c.content_id, issue_code AS k3, {line} AS line FROM issues i JOIN pilot c ON {_OURS.format("i")}
+        UNION ALL SELECT 'False Positive Entity-Link Examples', lower(title), content_id, kind || ' ' || name, '- `' || title || '` [' || kind || ']: expected `n/a`, actual `' || name || '`. Resolved entity link is not present in the labeled expected set for this bundle.'
+            FROM known k JOIN labelled USING (content_item_key) WHERE resolved AND NOT EXISTS (SELECT 1 FROM wished w WHERE w.content_item_key = k.content_item_key AND w.kind = k.kind AND w.name = k.name)
+        UNION ALL SELECT 'False Negative Entity-Link Examples', lower(title), content_id, w.kind || ' ' || w.name, '- `' || title || '` [' || w.kind || ']: expected `' || w.name || '`, actual `n/a`. ' || CASE WHEN k.open
+            THEN 'Expected entity appears only as an unresolved mention and did not resolve to an entity id.' ELSE 'Expected entity is missing from resolved entity links.' END
+            FROM wished w JOIN labelled USING (content_item_key) LEFT JOIN known k ON k.content_item_key = w.content_item_key AND k.kind = w.kind AND k.name = w.name WHERE NOT coalesce(k.resolved, false)
+        UNION ALL SELECT 'Notes Blocked From App Promotion By P1 Issues', lower(min(coalesce(c.source_title, c.content_id))), c.content_id, '',
+            '- `' || min(coalesce(c.source_title, c.content_id)) || '`: blocked by `' || string_agg(DISTINCT issue_code, ', ' ORDER BY issue_code) || '`' FROM issues i JOIN pilot c ON {_OURS.format("i")} WHERE severity = 'P1' GROUP BY c.content_id"""
     return out
 
 
@@ -186,6 +204,16 @@ def oracles() -> dict[str, str]:
         "metric_m7": f"SELECT c.source_title, l.content_id, l.content_version_id, l.entity_type, l.entity_id, l.entity_name, l.confidence, l.review_status, l.link_role, l.content_body_id FROM links l JOIN pilot c ON {_OURS.format('l')} WHERE l.content_body_id IS NULL AND ({' OR '.join(f'({s})' for s in _SURE.values())})",
         "metric_m8": "SELECT source_title, content_id, content_version_id FROM pilot p WHERE content_version_id NOT IN (SELECT content_version_id FROM sel)",
         "metric_m9": "SELECT * FROM examples",
+        "report_lines": "SELECT section, turn, line, total FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY k1, content_id, k3, line) AS turn, count(*) OVER (PARTITION BY section) AS total FROM said WHERE section IS NOT NULL) WHERE turn <= 10",
+        "local_note_counts": " UNION ALL ".join(
+            f"SELECT '{k}' AS note_type, (SELECT count(*) FROM (SELECT DISTINCT l.current_id, coalesce(l.entity_id, lower(l.entity_name)), coalesce(l.content_body_id, 'document') FROM {k}_links l JOIN pilot p ON p.content_version_id = l.current_id))"
+            + (" + (SELECT count(*) FROM scope_notes n JOIN pilot p ON p.content_version_id = n.source_content_version_id)" if k == "strategy" else "") + " AS derived_note_count" for k in RULES
+        ),
+        "view_counts": " UNION ALL ".join(f"SELECT '{name}' AS view_name, count(*) AS row_count FROM {rows}" for name, rows in (
+            ("content_current_versions", "cur"), ("content_primary_bodies", "prim"), ("content_selected_operational_dates", "sel"), ("content_entity_link_derivation_context", "ctx"), ("investment_notes_from_content", "inv"),
+            ("investment_notes_compat_from_content", "inv"), ("portfolio_notes_from_content", "port"), ("strategy_notes_from_content", "strat"), ("content_review_issues", "issues"), ("investment_note_timeline_from_content", "inv"),
+            ("portfolio_note_timeline_from_content", "port"), ("strategy_note_timeline_from_content", "strat"), ("content_review_queue", "queue"),
+        )),
         "acceptance_a1": "SELECT content_id, content_version_id, source_title, source_type, content_review_status FROM cur WHERE source_title ILIKE '%EN note%' AND content_id NOT IN (SELECT content_id FROM links WHERE upper(entity_type) = 'INVESTMENT' AND upper(review_status) IN ('AUTO_ACCEPTED', 'APPROVED'))",
         "acceptance_a2": "SELECT c.content_id, c.source_title, n.portfolio_name, n.portfolio_entity_type, n.entity_link_confidence, n.derivation_status FROM cur c JOIN port n ON n.source_content_id = c.content_id WHERE c.source_title ILIKE '%fr%note%'",
         "acceptance_a3": "SELECT c.content_id, c.source_title, count(*) AS asset_count, count(*) FILTER (WHERE upper(a.asset_type) IN ('IMAGE', 'CHART', 'SCREENSHOT', 'TABLE_IMAGE')) AS image_like_asset_count, count(*) FILTER (WHERE a.ocr_text IS NOT NULL OR a.caption_text IS NOT NULL OR a.chart_data IS NOT NULL) AS assets_with_context FROM cur c JOIN assets a USING (content_version_id) WHERE c.source_title ILIKE '%note%' GROUP BY 1, 2",

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adapter_queries, ingest_queries, marts, metrics, oracle, quality, views
+from . import adapter_queries, catalog, ingest_queries, marts, metrics, oracle, quality, report, views
 from .projection import canonical_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,13 @@ def _arm(code: str) -> Query:
     return lambda spark, sf_dir: quality.issue_arms(canonical_tables(spark, sf_dir))[code]
 
 
+def view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(view_name, row_count) of every view, read by its name."""
+    names = catalog.create_views(spark, canonical_tables(spark, sf_dir))
+    parts = [spark.table(n).agg(F.count("*").alias("row_count")).select(F.lit(n).alias("view_name"), "row_count") for n in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _ALL: dict[str, Query] = {
     **{f.__name__: _over_tables(f) for f in (
         views.current_versions, views.primary_bodies, views.selected_dates, views.derivation_context, views.investment_notes, views.investment_notes_compat,
@@ -52,6 +60,7 @@ _ALL: dict[str, Query] = {
         metrics.m1_scope_counts, metrics.m2_issue_counts, metrics.m3_issue_detail, metrics.m4_blocked_notes, metrics.m5_note_counts, metrics.m6_unresolved_mentions,
         metrics.m7_missing_anchors, metrics.m8_missing_dates,
     )},
+    "view_counts": view_counts, "local_note_counts": _of_run(report.local_note_counts), "report_lines": _labelled(report.report_lines),
     "metric_m9": _labelled(metrics.m9_entity_examples), "readiness": _labelled(metrics.readiness),
     "acceptance_a1": _titled(metrics.a1_without_investment, "%EN note%"), "acceptance_a2": _titled(metrics.a2_portfolio, "%fr%note%"), "acceptance_a3": _titled(metrics.a3_assets, "%note%"),
     **{f"acceptance_{f.__name__.split('_')[0]}": _over_tables(f) for f in (

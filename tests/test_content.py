@@ -5,14 +5,15 @@ import os
 import pytest
 
 from inkwell.operators.merge import merge_items
-from inkwell.plans.metrics import render_report
+from inkwell.functions import text as T
+from inkwell.plans import catalog, metrics, report
 from inkwell.plans.projection import canonical_tables
 from inkwell.plans.queries import ORACLE_SQL, QUERIES, expected_entities
 from pyspark.sql import functions as F
 
 DATA = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
-SHOWN = ["content_current_versions", "content_investment_notes", "content_strategy_notes", "content_review_queue", "content_metric_m9", "ingest_normalisers", "ingest_section_bodies", "ingest_merged_versions", "ingest_merged_pointers"]
+SHOWN = ["content_report_lines", "content_local_note_counts", "content_view_counts", "content_current_versions", "content_investment_notes", "content_strategy_notes", "content_review_queue", "content_metric_m9", "ingest_normalisers", "ingest_section_bodies", "ingest_merged_versions", "ingest_merged_pointers"]
 
 
 def plain(rows, names):
@@ -54,8 +55,81 @@ def test_merges_are_idempotent(spark):
     assert once.select("content_id", "review_status").intersect(kept).count() == kept.count()
 
 
+GOLDEN = os.path.join(os.path.dirname(__file__), "golden_report.md")
+
+
+@needs_data
+def test_report(spark, tmp_path):
+    t = canonical_tables(spark, DATA)
+    expected = expected_entities(spark, DATA)
+    text = report.render_report(t, "RUN-1", expected, examples=2, clock="2026-01-05T10:00:00Z")
+    assert text == open(GOLDEN, encoding="utf-8").read()
+    path = f"{tmp_path}/reports/run.md"
+    for own in ("old", text):  # the second is renamed over the first
+        report.write_report(spark, own, path)
+        assert open(path, encoding="utf-8").read() == own
+    assert [f for f in os.listdir(f"{tmp_path}/reports") if not f.endswith(".crc")] == ["run.md"]
+    nobody = report.render_report({k: v.limit(0) for k, v in t.items()}, "RUN-1", expected.limit(0), clock="x")
+    assert "needs adapter fixes" in nobody and "No labeled subset" in nobody and nobody.count("- None") == 8
+
+
+@needs_data
+def test_metrics_come_in_order(spark, oracle):
+    t = canonical_tables(spark, DATA)
+    rows = [(r.severity, r.source_title, r.issue_code) for r in metrics.m3_issue_detail(t, "RUN-1").collect()]
+    assert rows == sorted(rows) and len(rows) > 5
+    titles = [(r.source_title, r.entity_type, r.entity_name) for r in metrics.m6_unresolved_mentions(t, "RUN-1").collect()]
+    assert titles == sorted(titles, key=lambda r: tuple((x is None, x or "") for x in r)) and len(titles) > 2
+
+
 @needs_data
-def test_report(spark):
+def test_tables_and_views_by_name(spark):
     t = canonical_tables(spark, DATA)
-    text = render_report(t, "RUN-1", expected_entities(spark, DATA), examples=2)
-    assert "Recommendation: **needs schema/contract fixes**" in text and text.count("## ") == 6
+    try:
+        catalog.create_tables(spark, "content_t", "content_raw_t")
+        catalog.create_tables(spark, "content_t", "content_raw_t")  # they may be there already
+        catalog.load_tables(t, "content_t")
+        stored = catalog.catalog_tables(spark, "content_t")
+        assert all(stored[n].columns == t[n].columns and stored[n].count() == t[n].count() for n in t)
+        stage = spark.table("content_raw_t.stage_content_bodies")
+        assert {"ingestion_run_id", "content_version_key", "parent_content_body_key", "stage_payload_hash"} <= set(stage.columns)
+        said = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED content_t.content_items").collect()}
+        assert said["Comment"].startswith("One row a logical content object")
+        for name in catalog.create_views(spark, database="content_t"):
+            own = catalog.VIEWS[name](t)
+            assert spark.table(name).columns == own.columns and spark.table(name).count() == own.count(), name
+        for name in ("content_current_versions", "content_review_queue"):
+            assert spark.table(name).exceptAll(catalog.VIEWS[name](t)).isEmpty()
+    finally:
+        for database in ("content_t", "content_raw_t"):
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_keys_of_the_contract(spark):
+    """The contract's key examples."""
+    item = lambda **k: T.item_identity(*(F.lit(k.get(c)).cast("string") for c in ("system", "id", "uri", "container", "path")))
+    no = F.lit(None).cast("string")
+    version = F.lit("SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa")
+    cases = {
+        "rerun": (T.version_key(item(system="SharePoint Online", id="sp-note-001", path="Strategy/PEP Weekly/2025-11-14 PEP Weekly.md")[0], no, F.lit("a" * 64), no), "SHAREPOINT_ONLINE:sp-note-001:" + "a" * 64),
+        "moved": (T.version_key(item(system="SharePoint Online", id="sp-note-moved-001", path="Old Folder/SAIF Portfolio Redemption.md")[0], no, F.lit("b" * 64), no), "SHAREPOINT_ONLINE:sp-note-moved-001:" + "b" * 64),
+        "moved on": (T.version_key(item(system="sharepoint online", id="sp-note-moved-001", path="New Folder/Archive/SAIF Portfolio Redemption.md")[0], no, F.lit("B" * 64), no), "SHAREPOINT_ONLINE:sp-note-moved-001:" + "b" * 64),
+        "same content": (T.version_key(item(system="SharePoint Online", id="sp-note-same-content-001")[0], no, F.lit("c" * 64), no), "SHAREPOINT_ONLINE:sp-note-same-content-001:" + "c" * 64),
+        "path": (T.version_key(item(system=" SharePoint   Online ", container=" APS Notes ", path="\\Strategy//PEP%20Weekly.md ")[0], no, F.lit("d" * 64), no), "SHAREPOINT_ONLINE:aps notes/strategy/pep weekly.md:" + "d" * 64),
+        "plain path": (T.version_key(item(system="sharepoint-online", container="aps notes", path="strategy/pep weekly.md")[0], no, F.lit("D" * 64), no), "SHAREPOINT_ONLINE:aps notes/strategy/pep weekly.md:" + "d" * 64),
+        "fallback": (item(system="Local Markdown Export", container="APS Notes", path="Strategy/Undated Note.md")[1], "CONTAINER_PATH"),
+        "version id": (T.version_key(F.lit("k"), F.lit(" V%201 "), F.lit("f"), no), "k:V 1"),
+        "body": (T.body_key(version, F.lit("primary"), no, F.lit("BBBB")), "SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa:body:PRIMARY:document:bbbb"),
+        "asset": (T.asset_key(version, no, F.lit("Chart 1.PNG"), no, no), "SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa:asset:chart 1.png:no_hash"),
+        "link": (
+            T.link_key(version, F.lit("investment"), no, F.lit("Example Investment A"), F.lit("CONTENT_BODY_abc123"), no, F.lit(12), F.lit(32)),
+            "SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa:entity:INVESTMENT:example investment a:CONTENT_BODY_abc123:12-32",
+        ),
+        "period": (T.date_key(version, F.lit("report period end"), no, no, F.lit("2024-01-01"), F.lit("2024-03-31"), F.lit("Q1")), "SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa:date:REPORT_PERIOD_END:2024-01-01/2024-03-31"),
+        "no role": (T.body_key(version, no, no, F.lit("b")), None), "no date": (T.date_key(version, F.lit("x"), no, no, F.lit("2024-01-01"), no, F.lit(" ")), None), "no version": (T.scope_key(no, F.lit("x"), no, no, no), None),
+        "unscoped": (T.scope_key(F.lit("v"), F.lit("strategy"), no, no, no), "v:scope:STRATEGY:unscoped"), "no system": (item(id="1")[0], None),
+    }
+    row = spark.range(1).select(*(c.alias(k) for k, (c, _) in cases.items())).first()
+    assert row.asDict() == {k: v for k, (_, v) in cases.items()}
+    checked = spark.range(1).select(T.checked_key("links", F.lit("k"), no, no, F.lit("v")).alias("a"), T.checked_key("links", F.lit("k"), F.lit("t"), no, F.lit("v")).alias("b"), T.checked_key("links", F.lit("k"), F.lit("t"), F.lit("n"), F.lit("v")).alias("c")).first()
+    assert (checked.a.reason, checked.b.reason, tuple(checked.c)) == ("entity_type is required", "content entity link key requires entity_id or entity_name", ("k", None))
