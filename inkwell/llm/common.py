@@ -51,6 +51,20 @@ def table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_ids(schema: str) -> str:
+    """A schema whose doc_id is text. pandas holds longs beside nulls as doubles, which are exact up to 2**53 only, so ids
+    go through pandas as decimal text and come back by long_ids."""
+    return schema.replace("doc_id bigint", "doc_id string", 1)
+
+
+def with_text_ids(docs: DataFrame, *others) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), *others)
+
+
+def long_ids(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def crc_fold(col: str = "doc_id"):
     """crc32 of the id as text, modulo 5; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % 5

@@ -74,8 +74,6 @@ def remove_repeated_words(docs: DataFrame, **options: int) -> DataFrame:
                 at = e
             kept += words[at:]
             out.append((doc, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
-        got = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-        got["doc_id"] = got["doc_id"].astype("Int64")
-        return got
+        return pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return repeated_spans(docs.select("doc_id", "text"), WORDS, resolve_by_factors, finish, SCHEMA, **options)

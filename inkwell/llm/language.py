@@ -6,6 +6,7 @@ adds each bit's logistic loss against every codeword and takes the nearest; a sm
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,14 +24,16 @@ WIDTH = 1 << 13
 def codewords(n: int, bits: int, seed: int = 5) -> np.ndarray:
     """n rows of +1 / -1: of several seeded draws the one with the largest least distance, no constant bit."""
     rng, best, far = np.random.default_rng(seed), None, -1
-    for _ in range(200):
+    for _ in range(200 if n <= 200 else 3):
         c = rng.choice([-1, 1], (n, bits))
+        d = 0
         if n > 1:
             flat = np.abs(c.sum(axis=0)) == n
             c[0, flat] *= -1
-            d = min(int((c[i] != c[j]).sum()) for i in range(n) for j in range(i))
-        else:
-            d = 0
+            x = c.astype(np.float32)
+            # the distance of two words is half of bits less their product
+            near = max(int((x[i + 1 :] @ x[i]).max()) for i in range(n - 1)) if n > 4096 else int((x @ x.T - 2 * bits * np.eye(n, dtype=np.float32)).max())
+            d = (bits - near) // 2
         if d > far:
             best, far = c, d
     return best
@@ -86,8 +89,10 @@ class LanguageModel:
         self.languages, self.codes, self.weights, self.bias = languages, codes, weights, bias
 
     @classmethod
-    def fit(cls, x: np.ndarray, langs: list[str], bits: int = 31, rounds: int = 60, l2: float = 1e-5) -> LanguageModel:
+    def fit(cls, x: np.ndarray, langs: list[str], bits: int | None = None, rounds: int = 60, l2: float = 1e-5) -> LanguageModel:
         languages = sorted(set(langs))
+        # more languages need longer words to stay apart
+        bits = bits or max(31, 2 * math.ceil(3 * math.log2(len(languages) + 1)) + 1)
         codes = codewords(len(languages), bits)
         place = {k: i for i, k in enumerate(languages)}
         y = np.array([place[k] for k in langs])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, let_go, mix, table, words_of
+from .common import chunks, cut, let_go, long_ids, mix, table, text_ids, with_text_ids, words_of
 
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
@@ -100,7 +100,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
         let_go()
         for batch in batches:
             texts = [t.encode() if isinstance(t, str) else b"" for t in batch["text"]]
-            ids = batch["doc_id"].astype("Int64")
+            ids = batch["doc_id"]
             for i, j in chunks(texts, 2_000_000):
                 own = texts[i:j]
                 first: dict[bytes, int] = {}
@@ -115,9 +115,10 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
                 more = np.concatenate([[0], np.cumsum(mix(sets ^ np.uint64(0x5555555555555555)), dtype=np.uint64)]).astype(np.uint64)
                 sig = [(s[begin + sizes] - s[begin]).astype(np.int64) for s in (sums, more)]
                 lines = [r.tobytes() if k else None for r, k in zip(regs, some)]
-                yield pd.DataFrame({"doc_id": ids[i:j].to_numpy(), "th": batch["th"].iloc[i:j].to_numpy(), "n": sizes[at], "sig1": sig[0][at], "sig2": sig[1][at], "regs": [lines[k] for k in at]}).astype({"doc_id": "Int64"})
+                yield pd.DataFrame({"doc_id": ids[i:j].to_numpy(), "th": batch["th"].iloc[i:j].to_numpy(), "n": sizes[at], "sig1": sig[0][at], "sig2": sig[1][at], "regs": [lines[k] for k in at]})
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInPandas(sketch, "doc_id bigint, th bigint, n bigint, sig1 bigint, sig2 bigint, regs binary")
+    schema = "doc_id bigint, th bigint, n bigint, sig1 bigint, sig2 bigint, regs binary"
+    return long_ids(with_text_ids(docs, "text", F.xxhash64("text").alias("th")).mapInPandas(sketch, text_ids(schema)))
 
 
 PAIR = "a bigint, b bigint, ca bigint, cb bigint"

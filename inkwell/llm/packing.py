@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, held
+from .common import chunks, cut, held, long_ids, text_ids, with_text_ids
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -125,11 +125,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, e
                     for k, start in enumerate(range(0, len(ids) // 4, length)):
                         own = ids[4 * start : 4 * (start + length)]
                         rows.append((doc, k, start, len(own) // 4, zlib.crc32(own)))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInPandas(pieces, PIECES)
+    return long_ids(with_text_ids(docs, "text").mapInPandas(pieces, text_ids(PIECES)))
 
 
 def best_fit(
@@ -193,7 +191,9 @@ def pack(
     full = F.col(size) >= tokens
     groups = max(1, round(pieces.filter(~full).count() / group_pieces))
     rows = pieces.withColumn("part", F.pmod(F.xxhash64("row", F.lit(17)), F.lit(groups)))
-    whole = [f.name for f in pieces.schema if f.dataType.typeName() in ("long", "integer", "short", "byte")]
+    # beside a null, pandas holds whole numbers as doubles: longs, which may not fit, go as text
+    kinds = {f.name: f.dataType.simpleString() for f in pieces.schema if f.name != "row"}
+    long, whole = [c for c, k in kinds.items() if k == "bigint" and c != size], [c for c, k in kinds.items() if k in ("int", "smallint", "tinyint")]
 
     def packed(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("row", ignore_index=True)
@@ -203,6 +203,8 @@ def pack(
             part[c] = part[c].astype("Int64")
         return part.drop(columns=["part", "row"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name != "row") + ", sequence_id bigint, offset bigint"
+    schema = ", ".join(f"{c} {'string' if c in long else k}" for c, k in kinds.items()) + ", sequence_id bigint, offset bigint"
     alone = rows.filter(full).select(*given, (-F.col("row") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
-    return rows.filter(~full).groupBy("part").applyInPandas(packed, schema).unionByName(alone).toDF(*names, "sequence_id", "offset")
+    dealt = rows.filter(~full).withColumns({c: F.col(c).cast("string") for c in long}).groupBy("part").applyInPandas(packed, schema)
+    dealt = dealt.withColumns({c: F.col(c).cast("bigint") for c in long})
+    return dealt.unionByName(alone).toDF(*names, "sequence_id", "offset")

@@ -8,6 +8,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import long_ids, text_ids, with_text_ids
+
 #: Words of navigation bars and phrases of boilerplate lines, lower case.
 NAVIGATION = ("home", "about", "contact", "login", "sign in", "sign up", "register", "search", "menu", "next", "previous", "skip to content")
 BOILERPLATE = (
@@ -124,8 +126,6 @@ def line_quality(docs: DataFrame, max_loss: float = 0.5) -> DataFrame:
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         for batch in batches:
             rows = [(d, *_text_row(t or "", max_loss)) for d, t in zip(batch["doc_id"], batch["text"])]
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=names)
 
-    return docs.select("doc_id", "text").mapInPandas(judged, SCHEMA)
+    return long_ids(with_text_ids(docs, "text").mapInPandas(judged, text_ids(SCHEMA)))

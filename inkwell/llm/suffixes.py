@@ -7,6 +7,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .windows import BYTES, Kind, Runs, ranges, repeated_spans
 
@@ -338,9 +339,7 @@ def remove_repeats(docs: DataFrame, **options: int) -> DataFrame:
         for doc, text, own in zip(rows["doc_id"], rows["text"], spans):
             raw = text.encode() if isinstance(text, str) else b""
             out.append((doc, len(raw), sum(e - s for s, e in own), len(own), hashlib.sha256(cut_bytes(raw, own)).hexdigest()))
-        got = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-        got["doc_id"] = got["doc_id"].astype("Int64")
-        return got
+        return pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return repeated_spans(docs.select("doc_id", "text"), BYTES, resolve_by_suffixes, finish, SCHEMA, **options)
 
@@ -351,17 +350,22 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     names, doc, text, chars = docs.columns, docs.columns.index("doc_id"), docs.columns.index("text"), "n_chars"
     given = ["doc_id" if i == doc else "text" if i == text else f"c{i}" for i in range(len(names))]
     count = given[names.index(chars)] if chars in names else None
-    whole = [g for g, f in zip(given, docs.schema) if f.dataType.typeName() in ("long", "integer", "short", "byte")]
-    schema = ", ".join(f"{g} {f.dataType.simpleString()}" for g, f in zip(given, docs.schema))
+    # beside a null, pandas holds whole numbers as doubles: longs, which may not fit, go as text
+    kinds = {g: f.dataType.simpleString() for g, f in zip(given, docs.schema)} | {"doc_id": "bigint"}
+    long, whole = [g for g, k in kinds.items() if k == "bigint" and g != "doc_id"], [g for g, k in kinds.items() if k in ("int", "smallint", "tinyint")]
+    schema = ", ".join(f"{g} {'string' if g in long else k}" for g, k in kinds.items())
 
     def finish(rows: pd.DataFrame, spans: list[list[tuple[int, int]]]) -> pd.DataFrame:
         rows = rows[given].copy()
         texts = [cut_bytes(t.encode(), own).decode(errors="ignore") if isinstance(t, str) else None for t, own in zip(rows["text"], spans)]
         rows["text"] = pd.Series(texts, index=rows.index, dtype=object)
         if count:
-            rows[count] = pd.Series([len(t) if t is not None else 0 for t in texts], index=rows.index, dtype="Int64")
+            sizes = [len(t) if t is not None else 0 for t in texts]
+            rows[count] = [str(k) for k in sizes] if count in long else sizes
         for c in whole:
             rows[c] = rows[c].astype("Int64")
         return rows
 
-    return repeated_spans(docs.toDF(*given), BYTES, resolve_by_suffixes, finish, schema).toDF(*names)
+    plain = docs.toDF(*given).withColumns({"doc_id": F.col("doc_id").cast("bigint")} | {g: F.col(g).cast("string") for g in long})
+    out = repeated_spans(plain, BYTES, resolve_by_suffixes, finish, schema).withColumns({g: F.col(g).cast("bigint") for g in long})
+    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc].dataType)).toDF(*names)

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import held
+from .common import held, long_ids, text_ids, with_text_ids
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_words bigint, n_tokens bigint"
 MARK = "▁"  # stands for the white space before a word
@@ -106,9 +106,9 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 known = counter.__getitem__
                 yield pd.DataFrame(
                     {
-                        "doc_id": part["doc_id"].astype("Int64"), "n_bytes": [len(t) for t in raw],
+                        "doc_id": part["doc_id"], "n_bytes": [len(t) for t in raw],
                         "n_words": [len(w) for w in words], "n_tokens": [sum(map(known, w)) for w in words],
                     }
                 )
 
-    return docs.select("doc_id", "text").mapInPandas(counts, SCHEMA)
+    return long_ids(with_text_ids(docs, "text").mapInPandas(counts, text_ids(SCHEMA)))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, Rolling, chunks, crc_fold, cut, mix
+from .common import BYTE_VALUE, Rolling, chunks, crc_fold, cut, long_ids, mix, text_ids, with_text_ids
 
 PREFIXES = (5,)
 SCHEMA = (
@@ -375,9 +375,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = 2000, k: int =
                 ]
                 yield pd.DataFrame(
                     {
-                        "doc_id": part["doc_id"].astype("Int64"), "held_out": part["held_out"], "score": score, "predicted": (score >= 0.5).astype(np.int32),
+                        "doc_id": part["doc_id"], "held_out": part["held_out"], "score": score, "predicted": (score >= 0.5).astype(np.int32),
                         "n_terms": np.bincount(own[1], minlength=j - i).astype(np.int32), "evidence": evidence,
                     }
                 )
 
-    return docs.select("doc_id", "text", (crc_fold() == 0).alias("held_out")).mapInPandas(judge, SCHEMA)
+    return long_ids(with_text_ids(docs, "text", (crc_fold() == 0).alias("held_out")).mapInPandas(judge, text_ids(SCHEMA)))

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, Rolling, chunks, let_go, mix, words_of
+from .common import BYTE_VALUE, Rolling, chunks, let_go, long_ids, mix, text_ids, with_text_ids, words_of
 
 HOT, BATCH_HOT = 1024, 64
 NULL_ID = np.iinfo(np.int64).max
@@ -189,10 +189,14 @@ def by_second(gram: np.ndarray, lo: np.ndarray, a: np.ndarray, m: np.ndarray, sp
     return tuple(np.concatenate(c) for c in zip(*parts))
 
 
+def _ids(batch: pd.DataFrame) -> np.ndarray:
+    """Ids, which come as text, as numbers."""
+    return np.fromiter((NULL_ID if d is None or d is pd.NA else int(d) for d in batch["doc_id"]), np.int64, len(batch))
+
+
 def _texts(batch: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     texts = [t.encode() if isinstance(t, str) else b"" for t in batch["text"]]
-    doc = batch["doc_id"].astype("Int64").fillna(NULL_ID).to_numpy(np.int64)
-    return texts, doc, batch["th"].to_numpy(np.int64)
+    return texts, _ids(batch), batch["th"].to_numpy(np.int64)
 
 
 @dataclass
@@ -367,15 +371,15 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
         spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for key, a, b in zip(zip(d.tolist(), x.tolist()), s.tolist(), e.tolist()):
             spans.setdefault(key, []).append((a, b))
-        return finish(texts, [spans.get(key, []) for key in zip(texts["doc_id"].astype("Int64").fillna(NULL_ID).tolist(), texts["th"].tolist())])
+        return finish(texts, [spans.get(key, []) for key in zip(_ids(texts).tolist(), texts["th"].tolist())])
 
     home = rows.withColumn("bucket", document_bucket(F.coalesce("doc_id", F.lit(int(NULL_ID))), F.col("th"), n))
-    texts = home.groupBy("bucket")
-    found = rows.select("doc_id", "text", "th").mapInPandas(find_runs, MESSAGE)
+    texts = home.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("bucket")
+    found = with_text_ids(rows, "text", "th").mapInPandas(find_runs, MESSAGE)
     wanted = found.groupBy("bucket").applyInPandas(settle_runs, MESSAGE)
     sent = texts.cogroup(wanted.groupBy("bucket")).applyInPandas(answer, MESSAGE)
     settled = sent.groupBy("bucket").applyInPandas(settle_block, MESSAGE)
-    return texts.cogroup(settled.groupBy("bucket")).applyInPandas(gather, schema)
+    return long_ids(texts.cogroup(settled.groupBy("bucket")).applyInPandas(gather, text_ids(schema)))
 
 
 def document_bucket(doc, text, n: int):

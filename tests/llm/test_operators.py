@@ -325,4 +325,59 @@ def test_odd_inputs(spark, docs, nothing, rows):
 
 
 def test_registered():
-    assert {k.split("_")[0] for k in Q.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {k.split("_")[0] for k in Q.QUERIES} == {f"op{i}" for i in range(1, 14)}
+
+
+def _exact(spark):
+    """Ids that a double can't hold, beside a null, repeated rows and columns whose names operators use inside."""
+    big = 1 << 60
+    filler = " ".join(f"filler{i}" for i in range(60))
+    long = " ".join(f"w{i % 5000}x{i % 37}" for i in range(300_000))
+    rows = [
+        (big + 1, "the first text has a passage " + filler, "en", "s1", big + 5, "b", 1, None), (None, "no id here " + filler, "en", None, None, None, None, big + 7),
+        (big + 3, "another one, it repeats the passage " + filler + " and ends.", "de", "s2", big + 9, "c", 2, 5), (big + 3, "another one, it repeats the passage " + filler + " and ends.", "de", "s2", big + 9, "c", 2, 5),
+        (big + 2, None, None, "s1", 0, None, None, None), (5, "", "de", "s1", 0, "", 0, 0), (7, long, "en", "s1", len(long), "long", 3, 1),
+    ]
+    return rows, spark.createDataFrame(rows, H.SCHEMA + ", row bigint, part bigint").coalesce(1)
+
+
+def test_ids_and_other_longs_are_exact(spark):
+    rows, docs = _exact(spark)
+    path, pieces = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    labels = spark.createDataFrame([(r[0], 0, i % 2) for i, r in enumerate(rows) if r[0]], "doc_id bigint, quality int, toxic int")
+    ids = sorted((r[0] for r in rows), key=repr)
+    own = {
+        "op1": remove_repeats(docs), "op2": line_quality(docs), "op3": identify(docs, fit_language(docs)), "op4": toxicity(docs, labels), "op5": remove_repeated_words(docs), "op6": fingerprints(docs),
+        "op7": pack(tokenised_pieces(docs, path)).filter("piece = 0"), "op8": near_groups(docs), "op9": token_counts(docs, pieces), "op10": mix_sources(docs), "without": without_repeats(docs), "identified": identify(docs, fit_language(docs), keep_rows=True),
+    }
+    found = {name: df.cache() for name, df in own.items()}
+    for name, df in found.items():
+        assert sorted((r["doc_id"] for r in df.select("doc_id").collect()), key=repr) == ids, name
+    by = {r["doc_id"]: r for r in found["op1"].collect()}
+    # repeated rows are one document, a null id comes last
+    brute = H.without_repeats([(d if d is not None else 1 << 62, t) for d, t, *_ in dict.fromkeys(r[:2] for r in rows)], 100, words=False)
+    assert {(d if d is not None else 1 << 62): (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for d, r in by.items()} == brute
+    words = {(r["doc_id"] if r["doc_id"] is not None else 1 << 62): (r.n_words, r.n_removed, r.kept_sha256) for r in found["op5"].collect()}
+    assert words == {d: (n, k, sha) for d, (n, k, _, sha) in H.without_repeats([(d if d is not None else 1 << 62, t) for d, t, *_ in dict.fromkeys(r[:2] for r in rows)], 20, words=True).items()}
+    counts = {r["doc_id"]: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in found["op2"].collect()}
+    assert counts == {d: H.base_counts(t) for d, t, *_ in rows}
+    groups = H.near_groups([r[:2] for r in rows if r[0] is not None], 5)
+    assert {(r["doc_id"], r.n_shingles, r.component_id) for r in found["op8"].collect() if r["doc_id"] is not None} == {(d, n, c) for d, (n, c) in groups.items()}
+    left = sorted(((r["doc_id"], r["lang"], r["source"], r["bucket"], r["row"], r["part"]) for r in found["without"].collect()), key=repr)
+    assert left == sorted(((r[0], r[2], r[3], r[5], r[6], r[7]) for r in rows), key=repr)
+    assert all(r["n_chars"] == len(r["text"] or "") for r in found["without"].collect())
+    kept = pack(docs.selectExpr("doc_id", "n_chars", "bucket", "`row`", "part", "cast(3 as bigint) as length", "cast(null as int) as small")).collect()
+    assert sorted((tuple(r)[:5] for r in kept), key=repr) == sorted(((r[0], r[4], r[5], r[6], r[7]) for r in rows), key=repr)
+    scores = {r["doc_id"]: r for r in found["op4"].collect()}
+    assert {e.doc_id for r in scores.values() for e in r.evidence or []} <= set(ids)
+    for df in found.values():
+        df.unpersist()
+
+
+def test_codewords_stay_apart():
+    from inkwell.llm.language import codewords
+
+    for n, bits in ((2, 31), (4, 31), (40, 41), (300, 55)):
+        c = codewords(n, bits)
+        assert c.shape == (n, bits) and set(np.unique(c)) == {-1, 1}
+        assert min((c[i] != c[j]).sum() for i in range(n) for j in range(i)) >= (7 if n > 2 else 20)
