@@ -193,6 +193,14 @@ def _partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), F.col("compa").alias("ca"), F.col("compb").alias("cb")).distinct()
 
 
+def _spread(buckets: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the buckets with their node's component, and the keys of buckets in several components with their
+    centre's (first's)."""
+    at = buckets.join(comp, "node", "left").select("key", "first", "node", F.coalesce("component", "node").alias("comp"))
+    ends = at.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max(F.when(F.col("node") == F.col("first"), F.col("comp"))).alias("centre"))
+    return at, ends.filter("c0 != c1").select("key", "centre")
+
+
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -226,10 +234,16 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), items], ["node", "items"])
 
     sets = table(wanted.select("node", "text").mapInArrow(as_sets, "node bigint, items array<bigint>"))
-    first = buckets.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"), F.col("first").alias("ca"), F.col("node").alias("cb")).distinct()
-    comp = components(_linked(_likely(first, nodes), sets, percent))
-    at = buckets.join(comp, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-    mixed = at.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
+    # first each node with the least of its buckets' centres, a pair a node; then, in the buckets that this leaves in
+    # several components, with those centres that are not in its own
+    least = buckets.filter("node != first").groupBy("node").agg(F.min("first").alias("a"))
+    star = least.select("a", F.col("node").alias("b"), F.col("a").alias("ca"), F.col("node").alias("cb"))
+    comp = components(_linked(_likely(star, nodes), sets, percent))
+    at, mixed = _spread(buckets, comp)
+    other = at.join(mixed, "key").filter("comp != centre").select(F.col("first").alias("a"), F.col("node").alias("b"), F.col("centre").alias("ca"), F.col("comp").alias("cb")).distinct()
+    more = _linked(_likely(table(other), nodes), sets, percent).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    comp = components(comp.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    at, mixed = _spread(buckets, comp)
     open_ = table(at.join(mixed.select("key"), "key", "left_semi").select("node", "comp").distinct())
     new = table(_linked(_likely(_partners(open_, sets, percent), nodes), sets, percent))
     # an id with several texts ties their sets together
