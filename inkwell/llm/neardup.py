@@ -245,7 +245,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     comp = components(comp.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     at, mixed = _spread(buckets, comp)
     open_ = table(at.join(mixed.select("key"), "key", "left_semi").select("node", "comp").distinct())
-    new = table(_linked(_likely(_partners(open_, sets, percent), nodes), sets, percent))
+    # prefixes leave pairs that sketches would let through (98 of 100 of them), so these go straight to their sets
+    new = table(_linked(_partners(open_, sets, percent), sets, percent))
     # an id with several texts ties their sets together
     several = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a != b").select("doc_id", "a")
     tied = named.join(table(several), "doc_id").select("a", F.col("node").alias("b"))
