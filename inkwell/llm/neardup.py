@@ -145,15 +145,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of (a, b, ca, cb), those with 100 * intersection >= percent * union of their full sets."""
     joined = pairs.join(sets.withColumnsRenamed({"node": "a", "items": "sa"}), "a").join(sets.withColumnsRenamed({"node": "b", "items": "sb"}), "b")
 
-    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            keep = []
-            for x, y in zip(p["sa"], p["sb"]):
-                k = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * k >= percent * (len(x) + len(y) - k))
-            yield p.loc[np.array(keep, bool), _PAIR]
-
-    return joined.select(*_PAIR, "sa", "sb").mapInPandas(confirm, PAIR)
+    common = F.size(F.array_intersect("sa", "sb"))
+    return joined.filter(common * (100 + percent) >= (F.size("sa") + F.size("sb")) * percent).select(*_PAIR)
 
 
 def components(links: DataFrame) -> DataFrame:
