@@ -2,12 +2,47 @@
 
 from __future__ import annotations
 
-from ..schemas import DATE_PRIORITY
+from typing import NamedTuple
+
 from .projection import SOURCES, canonical_sql
-from .quality import ISSUES
-from .views import RULES
 
 RUN = "RUN-1"
+
+
+class _Rule(NamedTuple):
+    types: tuple[str, ...]
+    confidence: float
+    status: str
+    rule: str
+
+
+# Fixed values, stated here a second time so that the SQL takes nothing from the code that it is held against.
+DATE_PRIORITY = {"MEETING_DATE": 10, "REPORT_PERIOD_END": 20, "REPORT_PERIOD_START": 30, "EFFECTIVE_DATE_CANDIDATE": 40, "SOURCE_MODIFIED": 50, "SOURCE_CREATED": 60, "INGESTED": 70}
+RULES = {
+    "investment": _Rule(("INVESTMENT",), 0.85, "DERIVED_HIGH_CONFIDENCE", "investment_link_confidence_0_85_anchor_v2"),
+    "portfolio": _Rule(("PORTFOLIO", "FUND"), 0.80, "DERIVED_PORTFOLIO", "portfolio_link_confidence_0_80_anchor_v2"),
+    "strategy": _Rule(("STRATEGY", "TOPIC"), 0.80, "DERIVED_STRATEGY", "strategy_link_confidence_0_80_anchor_v2"),
+}
+ISSUES: dict[str, tuple[str, str]] = {
+    "DUPLICATE_CONTENT_ITEM_KEY": ("P1", "Multiple content items share the same CONTENT_ITEM_KEY. Item ingestion is not idempotent."),
+    "DUPLICATE_CONTENT_VERSION_KEY": ("P1", "Multiple content versions share the same CONTENT_VERSION_KEY. Version ingestion is not idempotent."),
+    "MULTIPLE_CURRENT_VERSION_FLAGS": ("P1", "More than one CONTENT_VERSIONS row is marked current for this content item."),
+    "MISSING_CURRENT_VERSION_POINTER": ("P1", "Content item has no row in CONTENT_ITEM_CURRENT_VERSION."),
+    "MULTIPLE_CURRENT_VERSION_POINTERS": ("P1", "Content item has more than one row in CONTENT_ITEM_CURRENT_VERSION."),
+    "DUPLICATE_VERSION_MARKED_CURRENT": ("P1", "A version marked duplicate is also marked current or has CURRENT status."),
+    "CURRENT_POINTER_FLAG_MISMATCH": ("P2", "CONTENT_ITEM_CURRENT_VERSION points at a current version whose IS_CURRENT flag is false."),
+    "MISSING_PRIMARY_BODY": ("P1", "Current version has no primary body for document-level derivations."),
+    "MULTIPLE_PRIMARY_BODIES": ("P2", "Current version has multiple primary bodies. Document-level fallback is ambiguous."),
+    "MISSING_REVIEWED_ENTITY_LINKS": ("P2", "Entity links exist, but none have been reviewed or auto-accepted."),
+    "UNRESOLVED_ENTITY_MENTIONS": ("P2", "Entity mentions have names but no resolved entity ids."),
+    "SCOPE_CONFLICT": ("P2", "Content has conflicting primary or mixed scopes that require review before broad app derivation."),
+    "IMAGE_HEAVY_NO_EXTRACTED_CONTEXT": ("P2", "Image-heavy current version has no OCR, caption, or chart extraction context."),
+    "MISSING_INVESTMENT_BODY_ANCHORS": ("P1", "Multi-investment or mixed-scope content has approved investment links without body anchors."),
+    "MISSING_PORTFOLIO_BODY_ANCHORS": ("P2", "Mixed-scope content has approved portfolio/fund links without body anchors."),
+    "MISSING_STRATEGY_BODY_ANCHORS": ("P2", "Mixed-scope content has approved strategy/topic links without body anchors."),
+    "MISSING_OPERATIONAL_DATE": ("P3", "No selected operational date is available. Content remains valid, but timelines will show null effective dates."),
+}
+
 _SURE = {k: f"upper(l.entity_type) IN {r.types if len(r.types) > 1 else f"('{r.types[0]}')"} AND upper(l.review_status) IN ('AUTO_ACCEPTED', 'APPROVED') AND coalesce(l.confidence, 0) >= {r.confidence}" for k, r in RULES.items()}
 _OURS = "{0}.content_id = c.content_id AND ({0}.content_version_id = c.content_version_id OR {0}.content_version_id IS NULL)"
 

@@ -115,6 +115,24 @@ def test_a_rerun_adds_nothing(spark, tmp_path):
     assert t["links"].filter("evidence_text is null or metadata is null").isEmpty() and t["scopes"].filter("evidence_text is null").isEmpty() and t["dates"].filter("evidence_text is null").isEmpty()
 
 
+def test_extracted_texts_reach_the_quality_rules(spark, tmp_path):
+    from inkwell.operators.ingest import TABLES, ingest
+    from inkwell.plans.quality import issue_arms
+
+    images = "".join(f"![i](a/{k}.png)\n" for k in range(3))
+    none = F.lit(None).cast("string")
+    notes = spark.createDataFrame([("seen", "Seen", images), ("blind", "Blind", images)], "bundle_id string, title string, text string").select(
+        "*", F.lit("s").alias("source_system"), F.col("bundle_id").alias("source_object_id"), F.lit("note").alias("source_type"), F.lit("2024-01-01").alias("ingested_at"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("staged_at"), *(none.alias(c) for c in ("source_uri", "source_container", "source_path", "source_version_id", "source_export_id", "source_file_hash", "source_created_at", "source_modified_at")),
+    )
+    given = spark.createDataFrame([("seen", 1, "a/0.png", "0.png", None, "h", None, True, "what the picture says")], "bundle_id string, asset_order bigint, asset_path string, file_name string, asset_type string, asset_hash string, source_asset_uri string, available boolean, ocr_text string")
+    catalog = spark.createDataFrame([], "entity_type string, entity_name string, entity_id string")
+    ingest(spark, str(tmp_path / "s"), notes, catalog, given, "RUN-1")
+    t = read_snapshot(spark, str(tmp_path / "s"), TABLES)
+    found = issue_arms(t)["IMAGE_HEAVY_NO_EXTRACTED_CONTEXT"].join(t["items"].select("content_id", "source_title"), "content_id")
+    assert [r.source_title for r in found.collect()] == ["Blind"] and t["assets"].count() == 6
+
+
 def test_stage_rows_have_the_contract_columns(spark):
     from inkwell.plans import adapter_queries as A
     from inkwell.schemas import stage_columns
