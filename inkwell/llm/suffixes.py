@@ -344,7 +344,7 @@ def remove_repeats(docs: DataFrame, **options: int) -> DataFrame:
     return repeated_spans(docs.select("doc_id", "text"), BYTES, resolve_by_suffixes, finish, SCHEMA, **options)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, **options: int) -> DataFrame:
     """docs with the repeated bytes gone from text (a character cut in two goes whole) and n_chars counted anew;
     every row and column stays, whatever the other columns are called. A null text stays null."""
     names, doc, text, chars = docs.columns, docs.columns.index("doc_id"), docs.columns.index("text"), "n_chars"
@@ -367,5 +367,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         return rows
 
     plain = docs.toDF(*given).withColumns({"doc_id": F.col("doc_id").cast("bigint")} | {g: F.col(g).cast("string") for g in long})
-    out = repeated_spans(plain, BYTES, resolve_by_suffixes, finish, schema).withColumns({g: F.col(g).cast("bigint") for g in long})
+    out = repeated_spans(plain, BYTES, resolve_by_suffixes, finish, schema, **options).withColumns({g: F.col(g).cast("bigint") for g in long})
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc].dataType)).toDF(*names)
