@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import functools
 import tempfile
 import uuid
 
@@ -164,21 +163,11 @@ def held(name: str, make):
 def let_go() -> None:
     """Forget it, and hand freed memory back to the system: called by operators that need the room."""
     _held.clear()
-    _trim()
+    give_back()
 
 
-def _trim() -> None:
+def give_back() -> None:
+    """Hand freed memory back to the system."""
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)
-
-
-def trimmed(f):
-    """f, a function over groups, such that a worker goes into each group without what the last one freed."""
-
-    @functools.wraps(f)
-    def over_group(*args):
-        _trim()
-        return f(*args)
-
-    return over_group

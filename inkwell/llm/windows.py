@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, Rolling, chunks, let_go, long_ids, mix, text_ids, trimmed, with_text_ids, words_of
+from .common import BYTE_VALUE, Rolling, chunks, give_back, let_go, long_ids, mix, text_ids, with_text_ids, words_of
 
 HOT, BATCH_HOT = 1024, 64
 NULL_ID = np.iinfo(np.int64).max
@@ -297,8 +297,8 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
     def blobs(part: pd.DataFrame, kind: int) -> list[bytes]:
         return list(part["data"][part["kind"] == kind])
 
-    @trimmed
     def settle_runs(part: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # what the last group freed
         h, d, x, lo, a, m = unpacked(RUNS, blobs(part, RUNS))
         order = np.lexsort((lo, x, d, h))
         h, d, x, lo, a, m = (v[order] for v in (h, d, x, lo, a, m))
@@ -312,8 +312,8 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
         passed = unpacked(SPANS, blobs(part, SPANS))
         return frame([*split_by(bucket_of(want[1], want[2], n), WANTED, want), *spans_of(*passed)])
 
-    @trimmed
     def answer(texts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # what the last group freed
         out = list(spans_of(*unpacked(SPANS, blobs(part, SPANS))))
         h, d, x, lo, a, m, salted = unpacked(WANTED, blobs(part, WANTED))
         if not len(h):
@@ -351,8 +351,8 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
                 out.append((int(block[by[s]]), SYMBOLS, zstandard.compress(len(r).to_bytes(8, "little") + lead + body, 1)))
         return frame(out)
 
-    @trimmed
     def settle_block(part: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # what the last group freed
         spans = unpacked(SPANS, blobs(part, SPANS))
         columns: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in SENT]
         raw: list[bytes] = []
@@ -369,8 +369,8 @@ def repeated_spans(docs: DataFrame, kind: Kind, resolve: Resolver, finish: Calla
             spans = [np.concatenate([p, q.astype(p.dtype)]) for p, q in zip(spans, joined_spans(d[run], x[run], s, e + w))]
         return frame(spans_of(*spans))
 
-    @trimmed
     def gather(texts: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # what the last group freed
         d, x, s, e = joined_spans(*unpacked(SPANS, blobs(part, SPANS)))
         spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for key, a, b in zip(zip(d.tolist(), x.tolist()), s.tolist(), e.tolist()):
