@@ -18,6 +18,7 @@ similarity, given both exact sizes), and linked only by its full sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -63,6 +64,19 @@ def shingle_sets(texts: list[bytes], words: int = 2) -> tuple[np.ndarray, np.nda
     return gram[new], np.bincount(text[new], minlength=len(texts))
 
 
+#: 64-bit words of a set's parity bitmap.
+PARITY = 16
+
+
+def parities(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bitmaps of sets that stand in a row, a line of PARITY longs each: every bit is the parity of the set's members
+    that fall on it. Two sets differ in at least as many members as their bitmaps in bits."""
+    width = 64 * PARITY
+    at = np.repeat(np.arange(len(sizes)), sizes) * width + (hashes & np.uint64(width - 1)).astype(np.int64)
+    odd = np.bincount(at, minlength=len(sizes) * width) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sizes), width), axis=1).view(np.int64)
+
+
 def registers(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sketches of non-empty sets that stand in a row, one line of REGISTERS uint16 each."""
     begin = np.cumsum(sizes) - sizes
@@ -143,7 +157,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of (a, b, ca, cb), those with 100 * intersection >= percent * union of their full sets."""
-    joined = pairs.join(sets.withColumnsRenamed({"node": "a", "items": "sa"}), "a").join(sets.withColumnsRenamed({"node": "b", "items": "sb"}), "b")
+    sides = [sets.select(F.col("node").alias(k), F.col("items").alias(f"s{k}")) for k in "ab"]
+    joined = pairs.join(sides[0], "a").join(sides[1], "b")
 
     common = F.size(F.array_intersect("sa", "sb"))
     return joined.filter(common * (100 + percent) >= (F.size("sa") + F.size("sb")) * percent).select(*_PAIR)
@@ -169,20 +184,23 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by prefixes."""
-    rows = open_.join(sets, "node").select("node", "comp", F.size("items").alias("n"), F.explode("items").alias("item"))
+    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by prefixes and by
+    parity bitmaps, neither of which loses a link."""
+    rows = open_.join(sets, "node").select("node", "comp", F.size("items").alias("n"), "bits", F.explode("items").alias("item"))
     found = rows.groupBy("item").agg(F.count("*").alias("nodes"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
     cross = rows.join(found.select("item", "nodes"), "item")
     mine = Window.partitionBy("node")
     # shingles of one component only stand first: they are the node's others
     place = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("nodes", "item")) - 1
-    prefix = cross.withColumn("place", place).filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).select("item", "node", "comp", "n", "place")
+    prefix = cross.withColumn("place", place).filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).select("item", "node", "comp", "n", "place", "bits")
     prefix = table(prefix)
-    a, b = (prefix.select("item", *(F.col(c).alias(c + k) for c in ("node", "comp", "n", "place"))) for k in "ab")
+    a, b = (prefix.select("item", *(F.col(c).alias(c + k) for c in ("node", "comp", "n", "place", "bits"))) for k in "ab")
     both = (F.col("na") + F.col("nb")) * percent
     # from these places on both must still hold enough in common
     enough = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb")) * (100 + percent) >= both
-    pairs = a.join(b, "item").filter((F.col("compa") < F.col("compb")) & enough & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
+    differ = reduce(lambda x, y: x + y, (F.bit_count(F.col("bitsa")[k].bitwiseXOR(F.col("bitsb")[k])) for k in range(PARITY)))
+    alike = differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+    pairs = a.join(b, "item").filter((F.col("compa") < F.col("compb")) & enough & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & alike)
     return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), F.col("compa").alias("ca"), F.col("compb").alias("cb")).distinct()
 
 
@@ -224,9 +242,11 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
                 s, n = shingle_sets(texts[i:j], words)
                 ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 items = pa.ListArray.from_arrays(pa.array(ends), pa.array(s.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), items], ["node", "items"])
+                marks = [parities(s[a:b], n[k : k + 256]) for k in range(0, len(n), 256) for a, b in [ends[[k, min(k + 256, len(n))]]]]
+                bits = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(marks).ravel()), PARITY).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), items, bits], ["node", "items", "bits"])
 
-    sets = table(wanted.select("node", "text").mapInArrow(as_sets, "node bigint, items array<bigint>"))
+    sets = table(wanted.select("node", "text").mapInArrow(as_sets, "node bigint, items array<bigint>, bits array<bigint>"))
     # first each node with the least of its buckets' centres, a pair a node; then, in the buckets that this leaves in
     # several components, with those centres that are not in its own
     least = buckets.filter("node != first").groupBy("node").agg(F.min("first").alias("a"))
