@@ -109,23 +109,23 @@ def test_keys_of_the_contract(spark):
     """The contract's key examples."""
     item = lambda **k: T.item_identity(*(F.lit(k.get(c)).cast("string") for c in ("system", "id", "uri", "container", "path")))
     no = F.lit(None).cast("string")
-    version = F.lit("SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa")
+    version = F.lit("SHARE_POINT_ONLINE:sp-note-001:aaaaaaaa")
     cases = {
-        "rerun": (T.version_key(item(system="SharePoint Online", id="sp-note-001", path="Strategy/PEP Weekly/2025-11-14 PEP Weekly.md")[0], no, F.lit("a" * 64), no), "SHAREPOINT_ONLINE:sp-note-001:" + "a" * 64),
-        "moved": (T.version_key(item(system="SharePoint Online", id="sp-note-moved-001", path="Old Folder/SAIF Portfolio Redemption.md")[0], no, F.lit("b" * 64), no), "SHAREPOINT_ONLINE:sp-note-moved-001:" + "b" * 64),
-        "moved on": (T.version_key(item(system="sharepoint online", id="sp-note-moved-001", path="New Folder/Archive/SAIF Portfolio Redemption.md")[0], no, F.lit("B" * 64), no), "SHAREPOINT_ONLINE:sp-note-moved-001:" + "b" * 64),
-        "same content": (T.version_key(item(system="SharePoint Online", id="sp-note-same-content-001")[0], no, F.lit("c" * 64), no), "SHAREPOINT_ONLINE:sp-note-same-content-001:" + "c" * 64),
-        "path": (T.version_key(item(system=" SharePoint   Online ", container=" APS Notes ", path="\\Strategy//PEP%20Weekly.md ")[0], no, F.lit("d" * 64), no), "SHAREPOINT_ONLINE:aps notes/strategy/pep weekly.md:" + "d" * 64),
-        "plain path": (T.version_key(item(system="sharepoint-online", container="aps notes", path="strategy/pep weekly.md")[0], no, F.lit("D" * 64), no), "SHAREPOINT_ONLINE:aps notes/strategy/pep weekly.md:" + "d" * 64),
-        "fallback": (item(system="Local Markdown Export", container="APS Notes", path="Strategy/Undated Note.md")[1], "CONTAINER_PATH"),
+        "rerun": (T.version_key(item(system="Share Point Online", id="sp-note-001", path="Strategy/Desk Weekly/2025-11-14 Desk Weekly.md")[0], no, F.lit("a" * 64), no), "SHARE_POINT_ONLINE:sp-note-001:" + "a" * 64),
+        "moved": (T.version_key(item(system="Share Point Online", id="sp-note-moved-001", path="Old Folder/Fund Portfolio Redemption.md")[0], no, F.lit("b" * 64), no), "SHARE_POINT_ONLINE:sp-note-moved-001:" + "b" * 64),
+        "moved on": (T.version_key(item(system="share point online", id="sp-note-moved-001", path="New Folder/Archive/Fund Portfolio Redemption.md")[0], no, F.lit("B" * 64), no), "SHARE_POINT_ONLINE:sp-note-moved-001:" + "b" * 64),
+        "same content": (T.version_key(item(system="Share Point Online", id="sp-note-same-content-001")[0], no, F.lit("c" * 64), no), "SHARE_POINT_ONLINE:sp-note-same-content-001:" + "c" * 64),
+        "path": (T.version_key(item(system=" Share Point   Online ", container=" Team Notes ", path="\\Strategy//Desk%20Weekly.md ")[0], no, F.lit("d" * 64), no), "SHARE_POINT_ONLINE:team notes/strategy/desk weekly.md:" + "d" * 64),
+        "plain path": (T.version_key(item(system="share-point-online", container="team notes", path="strategy/desk weekly.md")[0], no, F.lit("D" * 64), no), "SHARE_POINT_ONLINE:team notes/strategy/desk weekly.md:" + "d" * 64),
+        "fallback": (item(system="Local Markdown Export", container="Team Notes", path="Strategy/Undated Note.md")[1], "CONTAINER_PATH"),
         "version id": (T.version_key(F.lit("k"), F.lit(" V%201 "), F.lit("f"), no), "k:V 1"),
-        "body": (T.body_key(version, F.lit("primary"), no, F.lit("BBBB")), "SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa:body:PRIMARY:document:bbbb"),
-        "asset": (T.asset_key(version, no, F.lit("Chart 1.PNG"), no, no), "SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa:asset:chart 1.png:no_hash"),
+        "body": (T.body_key(version, F.lit("primary"), no, F.lit("BBBB")), "SHARE_POINT_ONLINE:sp-note-001:aaaaaaaa:body:PRIMARY:document:bbbb"),
+        "asset": (T.asset_key(version, no, F.lit("Chart 1.PNG"), no, no), "SHARE_POINT_ONLINE:sp-note-001:aaaaaaaa:asset:chart 1.png:no_hash"),
         "link": (
             T.link_key(version, F.lit("investment"), no, F.lit("Example Investment A"), F.lit("CONTENT_BODY_abc123"), no, F.lit(12), F.lit(32)),
-            "SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa:entity:INVESTMENT:example investment a:CONTENT_BODY_abc123:12-32",
+            "SHARE_POINT_ONLINE:sp-note-001:aaaaaaaa:entity:INVESTMENT:example investment a:CONTENT_BODY_abc123:12-32",
         ),
-        "period": (T.date_key(version, F.lit("report period end"), no, no, F.lit("2024-01-01"), F.lit("2024-03-31"), F.lit("Q1")), "SHAREPOINT_ONLINE:sp-note-001:aaaaaaaa:date:REPORT_PERIOD_END:2024-01-01/2024-03-31"),
+        "period": (T.date_key(version, F.lit("report period end"), no, no, F.lit("2024-01-01"), F.lit("2024-03-31"), F.lit("Q1")), "SHARE_POINT_ONLINE:sp-note-001:aaaaaaaa:date:REPORT_PERIOD_END:2024-01-01/2024-03-31"),
         "no role": (T.body_key(version, no, no, F.lit("b")), None), "no date": (T.date_key(version, F.lit("x"), no, no, F.lit("2024-01-01"), no, F.lit(" ")), None), "no version": (T.scope_key(no, F.lit("x"), no, no, no), None),
         "unscoped": (T.scope_key(F.lit("v"), F.lit("strategy"), no, no, no), "v:scope:STRATEGY:unscoped"), "no system": (item(id="1")[0], None),
     }
