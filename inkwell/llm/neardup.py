@@ -32,6 +32,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 #: Far below 0.8 by more than five standard errors of the estimate.
 LEAST_ESTIMATE = 0.64
+#: Items of its prefix that a row holds beside its own.
+EARLIER = 2
 #: Odd multipliers, one a register.
 _ODD = (mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
@@ -169,20 +171,24 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by prefixes."""
+    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by prefixes.
+
+    Two sets meet at each item that their prefixes share. A row also holds the EARLIER items before it in its prefix:
+    where both sides hold one of them, the two have met there already, so that pair's row here is left out."""
     rows = open_.join(sets, "node").select("node", "comp", F.size("items").alias("n"), F.explode("items").alias("item"))
     found = rows.groupBy("item").agg(F.count("*").alias("nodes"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
     cross = rows.join(found.select("item", "nodes"), "item")
     mine = Window.partitionBy("node")
     # shingles of one component only stand first: they are the node's others
     place = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("nodes", "item")) - 1
-    prefix = cross.withColumn("place", place).filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).select("item", "node", "comp", "n", "place")
+    earlier = F.collect_list("item").over(mine.orderBy("nodes", "item").rowsBetween(-EARLIER, -1))
+    prefix = cross.withColumns({"place": place, "earlier": earlier}).filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).select("item", "node", "comp", "n", "place", "earlier")
     prefix = table(prefix)
-    a, b = (prefix.select("item", *(F.col(c).alias(c + k) for c in ("node", "comp", "n", "place"))) for k in "ab")
+    a, b = (prefix.select("item", *(F.col(c).alias(c + k) for c in ("node", "comp", "n", "place", "earlier"))) for k in "ab")
     both = (F.col("na") + F.col("nb")) * percent
     # from these places on both must still hold enough in common
     enough = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb")) * (100 + percent) >= both
-    pairs = a.join(b, "item").filter((F.col("compa") < F.col("compb")) & enough & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
+    pairs = a.join(b, "item").filter((F.col("compa") < F.col("compb")) & enough & ~F.arrays_overlap("earliera", "earlierb") & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
     return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), F.col("compa").alias("ca"), F.col("compb").alias("cb")).distinct()
 
 

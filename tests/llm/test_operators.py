@@ -381,3 +381,19 @@ def test_codewords_stay_apart():
         c = codewords(n, bits)
         assert c.shape == (n, bits) and set(np.unique(c)) == {-1, 1}
         assert min((c[i] != c[j]).sum() for i in range(n) for j in range(i)) >= (7 if n > 2 else 20)
+
+
+@pytest.mark.parametrize("percent", [80, 50])
+def test_prefixes_find_every_linked_pair_once_or_more(spark, percent):
+    from inkwell.llm.neardup import _linked, _partners
+
+    rng, sets = random.Random(percent), {}
+    for base in range(12):
+        core = [rng.randrange(400) for _ in range(rng.randint(1, 60))]
+        for _ in range(6):
+            sets[len(sets)] = sorted({rng.randrange(400) if rng.random() < 0.08 else x for x in core})
+    items = spark.createDataFrame(list(sets.items()), "node bigint, items array<bigint>")
+    nodes = spark.createDataFrame([(k, k % 5) for k in sets], "node bigint, comp bigint")
+    found = {(r["a"], r["b"]) for r in _linked(_partners(nodes, items, percent), items, percent).collect()}
+    linked = {(a, b) for a in sets for b in sets if a % 5 < b % 5 and 100 * len({*sets[a]} & {*sets[b]}) >= percent * len({*sets[a]} | {*sets[b]})}
+    assert found == linked and len(linked) > 20
