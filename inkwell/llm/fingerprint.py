@@ -89,18 +89,21 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a.isNull() & b.isNull(), 1.0).when(a.isNull() | b.isNull(), 0.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)))
 
 
-def _cuts(docs: DataFrame, rows_per_bucket: int, buckets: int) -> tuple[list[int], set[int]]:
-    """Ascending ids that cut docs into cells of about rows_per_bucket rows (at most `buckets` of them), and the
-    cells (k: from cuts[k - 1] on, -1: null ids) that hold a single id with more rows than that."""
-    n, with_id = docs.agg(F.count("*"), F.count("doc_id")).first()
-    cells = min(buckets, -(-n // rows_per_bucket))
-    heavy = {-1} if (n - with_id) * cells > n else set()
-    if cells < 2 or not with_id:
-        return [], heavy
-    found = docs.agg(F.percentile_approx("doc_id", [k / cells for k in range(1, cells)], max(10_000, 8 * cells))).first()[0]
+def _cuts(docs: DataFrame, rows_per_bucket: int, buckets: int, bucket_bytes: int) -> tuple[list[int], set[int], int, list[int]]:
+    """Ascending ids that cut docs into ranges of about rows_per_bucket rows (at most `buckets` of them), the ranges
+    (k: from cuts[k - 1] on, -1: null ids) that hold a single id with more rows than that, in how many cells each range
+    is to be split so that a cell has about bucket_bytes of text, however large docs are, and the ends of the ranges."""
+    size = F.sum(F.octet_length("text").cast("bigint") + 64)
+    n, with_id, volume, least, most = docs.agg(F.count("*"), F.count("doc_id"), size, F.min("doc_id"), F.max("doc_id")).first()
+    ranges = min(buckets, -(-n // rows_per_bucket))
+    split = -(-(volume or 0) // (buckets * bucket_bytes)) or 1
+    heavy = {-1} if (n - with_id) * ranges > n else set()
+    if ranges < 2 or not with_id:
+        return [], heavy, split, []
+    found = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], max(10_000, 8 * ranges))).first()[0]
     often = {a for a, b in zip(found, found[1:]) if a == b}
     cuts = sorted({*found, *(a + 1 for a in often if a < (1 << 63) - 1)})
-    return cuts, heavy | {cuts.index(a) + 1 for a in often}
+    return cuts, heavy | {cuts.index(a) + 1 for a in often}, split, [least, *cuts, most]
 
 
 def _numbers(values: list[int], kind: str) -> Column:
@@ -108,29 +111,39 @@ def _numbers(values: list[int], kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def with_next(docs: DataFrame, columns: list[str], rows_per_bucket: int = 4096, buckets: int = 8192) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], rows_per_bucket: int = 4096, buckets: int = 8192, bucket_bytes: int = 1 << 27) -> DataFrame:
     """docs (doc_id, text, ...) with next_<c> of the next row in descending doc_id, the first one's after the last.
 
-    Approximate quantiles cut the ids into cells; an id with more rows than a cell has one of its own, dealt by the
-    rows' text hashes. Cells, in order, make buckets, and each bucket is sorted on its own; its head also stands, as
+    Approximate quantiles cut the ids into at most `buckets` ranges; an id with more rows than a range has one of its
+    own, dealt by the rows' text hashes. Where a range would hold more than bucket_bytes of text, it is split into
+    cells of equal width between its two cuts, so cells grow in number with the corpus. Cells, in order, make buckets, and each bucket is sorted on its own; its head also stands, as
     a ghost, at the end of the one before. Which ids are cut where changes no result. Null ids come last; rows of
     one id are in the order of their text, or, where they outnumber a cell, of a hash of it. Only rows equal in both
     can't be dealt."""
-    cuts, heavy = _cuts(docs, rows_per_bucket, buckets)
+    cuts, heavy, split, ends = _cuts(docs, rows_per_bucket, buckets, bucket_bytes)
     cell = F.lit(0)
     if cuts:
         ids, steps = _numbers(cuts, "bigint"), [1 << k for k in reversed(range(len(cuts).bit_length()))]
         cell = F.aggregate(_numbers(steps, "int"), F.lit(0), lambda c, k: F.when(F.get(ids, c + k - 1) <= F.col("doc_id"), c + k).otherwise(c))
+        if split > 1:  # doubles keep the ids' order, and ids that they merge stay in one cell
+            borders = _numbers(ends, "double")
+
+            def within(k: Column) -> Column:
+                low, high = borders[k], borders[k + 1]
+                turn = F.when(high > low, F.floor((F.col("doc_id").cast("double") - low) / (high - low) * split)).otherwise(0)
+                return k.cast("bigint") * split + F.greatest(F.lit(0), F.least(F.lit(split - 1), turn))
+
+            cell = _let(cell, within)
     cell = F.when(F.col("doc_id").isNull(), -1).otherwise(cell)
     tie = F.lit(0).cast("bigint")
     if heavy:
-        tie = F.when(F.col("_cell").isin(*heavy), F.shiftrightunsigned(F.xxhash64("text"), 1)).otherwise(tie)
+        tie = F.when(F.col("_cell").isin(*(k if k < 0 else k * split for k in heavy)), F.shiftrightunsigned(F.xxhash64("text"), 1)).otherwise(tie)
     placed = docs.withColumn("_cell", cell).withColumn("_tie", tie).withColumn("_part", F.shiftright("_tie", 57).cast("int"))
     turn = (F.desc("_cell"), F.asc("_part"))
     # a row a cell, or 64 for a heavy one, whatever the corpus
     counted = placed.groupBy("_cell", "_part").agg(F.count("*").alias("_n"), F.min(F.struct(F.bitwise_not("doc_id").alias("i"), F.col("_tie").alias("t"))).alias("_least"))
     before = F.sum("_n").over(Window.orderBy(*turn)) - F.col("_n")
-    each = F.greatest(F.lit(rows_per_bucket), F.ceil(F.sum("_n").over(Window.partitionBy(F.lit(0))) / buckets))
+    each = F.greatest(F.lit(rows_per_bucket), F.ceil(F.sum("_n").over(Window.partitionBy(F.lit(0))) / (buckets * split)))
     counted = counted.withColumn("_b", F.floor(before / each))
     counted = counted.withColumn("_bucket", F.dense_rank().over(Window.orderBy("_b")))
     counted = counted.withColumn("_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(*turn))).withColumn("_last", F.max("_bucket").over(Window.partitionBy(F.lit(0))))

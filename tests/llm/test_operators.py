@@ -194,8 +194,9 @@ def test_fingerprints(docs, rows):
     assert all(len(f) == 1 for f in by_text.values())
 
 
+@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("ids", ["outlier", "wide", "null", "repeated", "dense"])
-def test_next_document_of_any_ids(spark, ids):
+def test_next_document_of_any_ids(spark, ids, split):
     from pyspark.sql import functions as F
 
     from inkwell.llm.fingerprint import _cuts, with_next
@@ -206,9 +207,11 @@ def test_next_document_of_any_ids(spark, ids):
     }[ids]
     rows = [(of(i), f"text {i}") for i in range(1000)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    cuts, heavy = _cuts(df, 50, 8192)
-    assert bool(heavy) == (ids in ("null", "repeated")) and len(cuts) >= 10
-    out = with_next(df, ["doc_id", "text"], rows_per_bucket=50).collect()
+    cuts, heavy, whole, _ = _cuts(df, 50, 8192, 1 << 27)
+    assert bool(heavy) == (ids in ("null", "repeated")) and len(cuts) >= 10 and whole == 1
+    small = {"buckets": 20, "bucket_bytes": 400} if split else {}
+    assert not split or _cuts(df, 50, **small)[2] > 5
+    out = with_next(df, ["doc_id", "text"], rows_per_bucket=3 if split else 50, **small).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in out) == sorted((d is None, d or 0, t) for d, t in rows)
     after = {(r["doc_id"], r["text"]): (r["next_doc_id"], r["next_text"]) for r in out}
     at, seen = (out[0]["doc_id"], out[0]["text"]), []
