@@ -116,10 +116,10 @@ def with_next(docs: DataFrame, columns: list[str], rows_per_bucket: int = 4096,
 
     Approximate quantiles cut the ids into at most `buckets` ranges; an id with more rows than a range has one of its
     own, dealt by the rows' text hashes. Where a range would hold more than bucket_bytes of text, it is split into
-    cells of equal width between its two cuts, so cells grow in number with the corpus. Cells, in order, make buckets, and each bucket is sorted on its own; its head also stands, as
-    a ghost, at the end of the one before. Which ids are cut where changes no result. Null ids come last; rows of
-    one id are in the order of their text, or, where they outnumber a cell, of a hash of it. Only rows equal in both
-    can't be dealt."""
+    cells of equal width between its two ends, so cells grow in number with the corpus. Cells, in order, make buckets,
+    and each bucket is sorted on its own; its head also stands, as a ghost, at the end of the one before. Which ids are
+    cut where changes no result. Null ids come last; rows of one id are in the order of their text, or, where they
+    outnumber a range, of a hash of it. Only rows equal in both can't be dealt."""
     cuts, heavy, split, ends = _cuts(docs, rows_per_bucket, buckets, bucket_bytes)
     cell = F.lit(0)
     if cuts:
