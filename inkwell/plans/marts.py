@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import asset_health, link_health, review_issues
+from .quality import review_issues, version_facts
 from .views import Tables, current_versions, investment_notes, portfolio_notes, said, strategy_notes
 
 _NOTE = [
@@ -36,13 +36,13 @@ def review_queue(t: Tables) -> DataFrame:
         F.array_join(F.array_sort(F.collect_set("issue_code")), ", ").alias("review_reasons"), F.max(rank).alias("rank"), F.count("*").alias("issue_count"),
         *(F.count_if(F.col("severity") == p).alias(f"{p.lower()}_issue_count") for p in SEVERITY),
     )
-    links = link_health(t, ["content_id"]).select("content_id", "entity_link_count", "reviewed_entity_link_count", "unresolved_entity_mention_count")
-    out = current_versions(t).join(rolled, "content_id", "left").join(links, "content_id", "left").join(asset_health(t, ["content_id"]), "content_id", "left")
-    out = out.filter((F.coalesce("issue_count", F.lit(0)) > 0) | said("content_review_status", "NEEDS_REVIEW", "UNREVIEWED"))
-    counts = [
-        "issue_count", "p1_issue_count", "p2_issue_count", "p3_issue_count", "entity_link_count", "reviewed_entity_link_count",
-        "unresolved_entity_mention_count", "asset_count", "image_like_asset_count", "assets_with_extracted_context",
+    health = [
+        "entity_link_count", "reviewed_entity_link_count", "unresolved_entity_mention_count", "asset_count", "image_like_asset_count", "assets_with_extracted_context",
     ]
+    facts = version_facts(t, ("links", "assets")).groupBy("content_id").agg(*(F.sum(c).alias(c) for c in health))
+    out = current_versions(t).join(rolled, "content_id", "left").join(facts, "content_id", "left")
+    out = out.filter((F.coalesce("issue_count", F.lit(0)) > 0) | said("content_review_status", "NEEDS_REVIEW", "UNREVIEWED"))
+    counts = ["issue_count", "p1_issue_count", "p2_issue_count", "p3_issue_count", *health]
     severity = F.when(F.col("rank") == 3, "P1").when(F.col("rank") == 2, "P2").when(F.col("rank") == 1, "P3").otherwise("OK")
     return out.select(
         "content_id", "content_version_id", "source_title", "source_system", "source_type", "source_uri", "source_reference", "content_review_status",

@@ -39,7 +39,7 @@ def _titled(query: Callable, title: str) -> Query:
 
 
 def _arm(code: str) -> Query:
-    return lambda spark, sf_dir: quality.issue_arms(canonical_tables(spark, sf_dir))[code]
+    return lambda spark, sf_dir: quality.issues_with(canonical_tables(spark, sf_dir), code)
 
 
 def view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

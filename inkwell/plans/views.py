@@ -67,12 +67,17 @@ def primary_bodies(t: Tables) -> DataFrame:
     )
 
 
+def operational_dates(t: Tables) -> DataFrame:
+    """Date rows that may become an operational date, with that day."""
+    day = F.coalesce("date_value", F.col("timestamp_value").cast("date"), "period_end_date", "period_start_date")
+    found = t["dates"].withColumn("operational_date", day)
+    return found.filter((F.upper("date_role") != "EXCLUDED") & F.col("operational_date").isNotNull() & said("date_type", *DATE_PRIORITY))
+
+
 def selected_dates(t: Tables) -> DataFrame:
     """One operational date per current version: version-specific and primary candidates first, then by priority
     (the override or the type's), confidence, latest date, latest creation and id."""
-    day = F.coalesce("date_value", F.col("timestamp_value").cast("date"), "period_end_date", "period_start_date")
-    found = of_current(current_versions(t).select("content_id", "content_version_id"), t["dates"].withColumn("operational_date", day))
-    found = found.filter((F.upper("date_role") != "EXCLUDED") & F.col("operational_date").isNotNull() & said("date_type", *DATE_PRIORITY))
+    found = of_current(current_versions(t).select("content_id", "content_version_id"), operational_dates(t))
     found = found.withColumn("date_selection_priority", F.coalesce("date_priority_override", ranked("date_type", DATE_PRIORITY, 90)).cast("bigint"))
     order = [
         F.col("own_version_id").isNull(), F.when(F.col("is_primary_candidate"), 0).otherwise(1), F.col("date_selection_priority").asc(),

@@ -117,7 +117,7 @@ def test_a_rerun_adds_nothing(spark, tmp_path):
 
 def test_extracted_texts_reach_the_quality_rules(spark, tmp_path):
     from inkwell.operators.ingest import TABLES, ingest
-    from inkwell.plans.quality import issue_arms
+    from inkwell.plans.quality import issues_with
 
     images = "".join(f"![i](a/{k}.png)\n" for k in range(3))
     none = F.lit(None).cast("string")
@@ -129,7 +129,7 @@ def test_extracted_texts_reach_the_quality_rules(spark, tmp_path):
     catalog = spark.createDataFrame([], "entity_type string, entity_name string, entity_id string")
     ingest(spark, str(tmp_path / "s"), notes, catalog, given, "RUN-1")
     t = read_snapshot(spark, str(tmp_path / "s"), TABLES)
-    found = issue_arms(t)["IMAGE_HEAVY_NO_EXTRACTED_CONTEXT"].join(t["items"].select("content_id", "source_title"), "content_id")
+    found = issues_with(t, "IMAGE_HEAVY_NO_EXTRACTED_CONTEXT").join(t["items"].select("content_id", "source_title"), "content_id")
     assert [r.source_title for r in found.collect()] == ["Blind"] and t["assets"].count() == 6
 
 

@@ -6,7 +6,7 @@ import pytest
 
 from inkwell.operators.merge import merge_items
 from inkwell.functions import text as T
-from inkwell.plans import catalog, metrics, report
+from inkwell.plans import catalog, metrics, quality, report
 from inkwell.plans.projection import canonical_tables
 from inkwell.plans.queries import ORACLE_SQL, QUERIES, expected_entities
 from pyspark.sql import functions as F
@@ -55,6 +55,31 @@ def test_merges_are_idempotent(spark):
     assert once.select("content_id", "review_status").intersect(kept).count() == kept.count()
 
 
+@needs_data
+def test_each_code_gives_its_share_of_all_issues(spark):
+    t = canonical_tables(spark, DATA)
+    names = ["content_id", "content_version_id", "issue_code", "issue_context"]
+    issues = quality.review_issues(t).select(*names).collect()
+    codes = ["CURRENT_POINTER_FLAG_MISMATCH", "MISSING_PRIMARY_BODY", "SCOPE_CONFLICT", "MISSING_INVESTMENT_BODY_ANCHORS", "MISSING_OPERATIONAL_DATE", "MULTIPLE_CURRENT_VERSION_POINTERS"]
+    for code in codes:
+        found = [tuple(r) for r in issues if r["issue_code"] == code]
+        assert found and plain(found, names) == plain(quality.issues_with(t, code).select(*names).collect(), names), code
+
+
+@needs_data
+def test_a_version_named_twice_counts_twice(spark):
+    """Its counts and its anchor issues double; rows of children that name no version go to the item's current one."""
+    t = canonical_tables(spark, DATA)
+    links = ["entity_link_count", "operational_date_count", "body_count"]
+    once = {r["content_id"]: r for r in quality.version_facts(t).collect()}
+    twice = {r["content_id"]: r for r in quality.version_facts(t | {"pointers": t["pointers"].unionAll(t["pointers"])}).collect()}
+    assert once.keys() == twice.keys() and all(2 * once[k][c] == twice[k][c] for k in once for c in links)
+    free = t["links"].withColumn("content_version_id", F.lit(None).cast("string"))
+    loose = {r["content_id"]: r["entity_link_count"] for r in quality.version_facts(t | {"links": free}, ("links",)).collect()}
+    named = {r["content_id"]: r["count"] for r in t["links"].groupBy("content_id").count().collect()}
+    assert any(loose.values()) and all(n == once[k]["times"] * named.get(k, 0) for k, n in loose.items())
+
+
 GOLDEN = os.path.join(os.path.dirname(__file__), "golden_report.md")
 
 
