@@ -10,17 +10,30 @@ from pyspark.sql import DataFrame
 
 from .common import long_ids, text_ids, with_text_ids
 
-#: Words of navigation bars and phrases of boilerplate lines, lower case.
-NAVIGATION = ("home", "about", "contact", "login", "sign in", "sign up", "register", "search", "menu", "next", "previous", "skip to content")
+#: Words of navigation bars and phrases of boilerplate lines, lower case, in English, German, Spanish and French.
+NAVIGATION = (
+    "home", "about", "contact", "login", "sign in", "sign up", "register", "search", "menu", "next", "previous", "skip to content",
+    "startseite", "kontakt", "anmelden", "suche", "weiter", "zurück",
+    "inicio", "contacto", "iniciar sesión", "buscar", "siguiente", "anterior",
+    "accueil", "connexion", "rechercher", "suivant", "précédent",
+)
 BOILERPLATE = (
     "all rights reserved", "cookie policy", "privacy policy", "terms of service", "terms of use", "use cookies", "javascript", "lorem ipsum",
     "subscribe", "click here", "read more", "share this", "licensed under", "released under", "powered by", "copyright",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "verwendet cookies", "hier klicken", "weiterlesen", "newsletter abonnieren",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "términos de uso", "utiliza cookies", "haga clic aquí", "leer más",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "utilise des cookies", "cliquez ici", "lire la suite",
 )
+#: What stands between the entries of a menu line, and how many bare lines in a row make a menu.
+SEPARATORS = "|•·›»→"
+MENU_LINES = 5
 #: What may end a sentence, closing marks included.
 ENDS = tuple(".!?:;…\"'”’»)]")
 
 _nav = re.compile(r"\b(?:" + "|".join(NAVIGATION) + r")\b")
 _boiler = re.compile("|".join(BOILERPLATE))
+_between = re.compile("[" + SEPARATORS + r"]|\s/\s")
+_link = re.compile(r"(?:https?://|www\.)\S+", re.I)
 _symbols = re.compile(rb"[#*$%&|<>]")
 #: Bytes that start a code point.
 _count_not = bytes(range(0x80, 0xC0))
@@ -37,8 +50,9 @@ def line_fails(line: str, n_words: int, seen: bool) -> str:
     symbols: more than one of #*$%&|<> for four words; shouting: most words end in "!!" or nine tenths of at least
     20 letters are capitals; punctuation: a line of 20 words or more has no sentence mark in or after it, or a
     line of 3 to 19 words neither ends in one nor starts like a heading; navigation: most of a line of at most 12
-    words are navigation words; boilerplate: a line of at most 25 words has such a phrase; repeated: it is equal to
-    an earlier line."""
+    words are navigation words, half of a line's words or more are links, or separators cut a line into three entries
+    or more of at most three words on average; boilerplate: a line of at most 25 words has such a phrase; repeated: it
+    is equal to an earlier line. What a menu looks like is told in any language, its words only in four."""
     if seen:
         return "repeated"
     if 4 * sum(map(line.count, "#*$%&|<>")) > n_words:
@@ -59,11 +73,39 @@ def line_fails(line: str, n_words: int, seen: bool) -> str:
     low = line.lower()
     if n_words <= 12 and 2 * len(_nav.findall(low)) > n_words:
         return "navigation"
+    if 2 * len(_link.findall(line)) >= n_words:
+        return "navigation"
+    if not tail.endswith(ENDS):
+        entries = [e for e in _between.split(line) if e.strip()]
+        if len(entries) >= 3 and n_words <= 3 * len(entries):
+            return "navigation"
     if n_words <= 25 and _boiler.search(low):
         return "boilerplate"
     return ""
 
 
+def judged_lines(text: str) -> list[tuple[str, int, str]]:
+    """(line, its words, the rule it fails or '') of every line; a line without words fails none. MENU_LINES or more
+    lines of at most three words in a row, none with a sentence mark at its end, fail as navigation."""
+    seen: set[str] = set()
+    out: list[tuple[str, int, str]] = []
+    bare: list[int] = []
+    for line in text.split("\n"):
+        k = len(line.encode(errors="replace").split())
+        out.append((line, k, line_fails(line, k, line in seen) if k else ""))
+        if not k:
+            continue
+        seen.add(line)
+        if k <= 3 and not line.rstrip().endswith(ENDS):
+            bare.append(len(out) - 1)
+            if len(bare) >= MENU_LINES:
+                for at in bare if len(bare) == MENU_LINES else bare[-1:]:
+                    out[at] = (*out[at][:2], out[at][2] or "navigation")
+        else:
+            bare = []
+    return out
+
+
 def _text_row(text: str, max_loss: float) -> tuple:
     raw = text.encode()
     words = raw.split()
@@ -85,35 +127,18 @@ def _text_row(text: str, max_loss: float) -> tuple:
             hit[i : i + 3] = three
             hit[j : j + 3] = three
     repeats = hit.count(1)
-    seen: set[str] = set()
-    lines = kept_lines = kept_words = dup = 0
-    for line in text.split("\n"):
-        k = len(line.encode().split())
-        if not k:
-            continue
-        lines += 1
-        again = line in seen
-        dup += again
-        seen.add(line)
-        if not line_fails(line, k, again):
-            kept_lines += 1
-            kept_words += k
+    judged = [(line, k, rule) for line, k, rule in judged_lines(text) if k]
+    kept = [k for _, k, rule in judged if not rule]
+    lines, kept_lines, kept_words = len(judged), len(kept), sum(kept)
+    dup = lines - len({line for line, _, _ in judged})
     failed = n < 50 or 100 * repeats > 50 * n
-    kept = not failed and kept_words >= (1 - max_loss) * n
-    return n, chars, symbols, dup, repeats, failed, kept, lines, kept_lines, kept_words
+    whole = not failed and kept_words >= (1 - max_loss) * n
+    return n, chars, symbols, dup, repeats, failed, whole, lines, kept_lines, kept_words
 
 
 def clean_lines(text: str | None) -> str:
     """The text without the lines that fail a rule; lines without words stay."""
-    seen: set[str] = set()
-    out = []
-    for line in (text or "").split("\n"):
-        k = len(line.encode().split())
-        if not k or not line_fails(line, k, line in seen):
-            out.append(line)
-        if k:
-            seen.add(line)
-    return "\n".join(out)
+    return "\n".join(line for line, _, rule in judged_lines(text or "") if not rule)
 
 
 def line_quality(docs: DataFrame, max_loss: float = 0.5) -> DataFrame:
