@@ -11,13 +11,15 @@ No bucket's pairs are listed. First each bucket's members are compared with its
 buckets. The nodes of buckets that still hold several components look for partners by prefixes: with shingles in one
 order for all nodes (first those of one component only, then by how many nodes have them), two sets that are linked
 share one of the first n - ceil(percent * n / 100) + 1 of each. Shingles of one component only find nothing, so members
-of a large group don't look for each other. A pair is compared by sketches first (joint maximum likelihood of the
+of a large group don't look for each other. Where many prefixes share a shingle, the nodes are near copies of one text,
+mostly: they are set against one of them and meet by what tells them from it, which near copies seldom share. A pair is compared by sketches first (joint maximum likelihood of the
 similarity, given both exact sizes), and linked only by its full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,6 +36,8 @@ BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 LEAST_ESTIMATE = 0.64
 #: Items of its prefix that a row holds beside its own.
 EARLIER = 2
+#: Prefixes that may share an item in each round before its nodes are set against one of them instead of paired.
+LONG = (32, 256, 2048)
 #: Odd multipliers, one a register.
 _ODD = (mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
@@ -170,26 +174,89 @@ def components(links: DataFrame) -> DataFrame:
         label = new.select("node", "component")
 
 
-def _partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by prefixes.
-
-    Two sets meet at each item that their prefixes share. A row also holds the EARLIER items before it in its prefix:
-    where both sides hold one of them, the two have met there already, so that pair's row here is left out."""
-    rows = open_.join(sets, "node").select("node", "comp", F.size("items").alias("n"), F.explode("items").alias("item"))
-    found = rows.groupBy("item").agg(F.count("*").alias("nodes"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
-    cross = rows.join(found.select("item", "nodes"), "item")
-    mine = Window.partitionBy("node")
-    # shingles of one component only stand first: they are the node's others
-    place = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("nodes", "item")) - 1
+def _prefixes(rows: DataFrame, percent: int) -> DataFrame:
+    """The items of prefixes, a row each, of rows (pivot, node, comp, n, w, need, items): `left` items from it on, `own`
+    of the node's component only, and the EARLIER ones before it.
+
+    Two nodes of one pivot are linked if 2 * (100 + percent) * common items >= w + w; `need` is the least sum that a
+    node meets in any that it has to find."""
+    rows = rows.select("pivot", "node", "comp", "n", "w", "need", F.size("items").alias("size"), F.explode("items").alias("item"))
+    found = rows.groupBy("pivot", "item").agg(F.count("*").alias("nodes"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
+    cross = rows.join(found.select("pivot", "item", "nodes"), ["pivot", "item"])
+    mine = Window.partitionBy("pivot", "node")
+    # items of one component only stand first: they are the node's others
+    own = F.col("size") - F.count("*").over(mine)
+    left = F.col("size") - F.col("own") - F.row_number().over(mine.orderBy("nodes", "item")) + 1
     earlier = F.collect_list("item").over(mine.orderBy("nodes", "item").rowsBetween(-EARLIER, -1))
-    prefix = cross.withColumns({"place": place, "earlier": earlier}).filter((F.col("n") - F.col("place")) * 100 >= F.col("n") * percent).select("item", "node", "comp", "n", "place", "earlier")
-    prefix = table(prefix)
-    a, b = (prefix.select("item", *(F.col(c).alias(c + k) for c in ("node", "comp", "n", "place", "earlier"))) for k in "ab")
-    both = (F.col("na") + F.col("nb")) * percent
+    prefix = cross.withColumn("own", own).withColumns({"left": left, "earlier": earlier}).filter(F.col("left") * (2 * (100 + percent)) >= F.col("need"))
+    return table(prefix.select("pivot", "item", "node", "comp", "n", "w", "left", "own", "earlier"))
+
+
+def _met(prefix: DataFrame, percent: int) -> DataFrame:
+    """(a, b, ca, cb) of different components that meet at an item.
+
+    Two nodes meet at each item that their prefixes share. A row also holds the items before it in its prefix: where
+    both sides hold one of them, the two have met there already, so that pair's row here is left out."""
+    a, b = (prefix.select("pivot", "item", *(F.col(c).alias(c + k) for c in ("node", "comp", "n", "w", "left", "earlier"))) for k in "ab")
     # from these places on both must still hold enough in common
-    enough = F.least(F.col("na") - F.col("placea"), F.col("nb") - F.col("placeb")) * (100 + percent) >= both
-    pairs = a.join(b, "item").filter((F.col("compa") < F.col("compb")) & enough & ~F.arrays_overlap("earliera", "earlierb") & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-    return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), F.col("compa").alias("ca"), F.col("compb").alias("cb")).distinct()
+    enough = F.least("lefta", "leftb") * (2 * (100 + percent)) >= F.col("wa") + F.col("wb")
+    pairs = a.join(b, ["pivot", "item"]).filter((F.col("compa") < F.col("compb")) & enough & ~F.arrays_overlap("earliera", "earlierb") & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
+    return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"), F.col("compa").alias("ca"), F.col("compb").alias("cb"))
+
+
+def _whole(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Open nodes (node, comp) with their whole sets, as _prefixes takes them."""
+    n = F.size("items").cast("bigint")
+    need = F.floor(n * (2 * percent * (100 + percent)) / 100)
+    return open_.join(sets, "node").select(F.lit(0).cast("bigint").alias("pivot"), "node", "comp", n.alias("n"), (n * (2 * percent)).alias("w"), need.alias("need"), "items")
+
+
+def _partners(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, ca, cb) of open nodes (node, comp) of different components: all that could be linked, by prefixes."""
+    return _met(_prefixes(_whole(open_, sets, percent), percent), percent).distinct()
+
+
+def _around(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Members (pivot, node, comp, n) with the items that tell their sets from their pivot's, as _prefixes takes them,
+    and links (a, b) of components.
+
+    With d such items each, two sets differ by d + d - 2 * common ones, so they are linked if 2 * (100 + percent) *
+    common >= w + w, where w = (100 + percent) * d - (100 - percent) * n. The member of the least w is linked with all
+    whose sum with it is 0 or less, and any two whose sum is 0 or less are among these: one link a member stands for
+    all their pairs. Each other pair has one outside at least, and common items."""
+    q, r = 100 + percent, 100 - percent
+    sides = members.join(sets, "node").join(sets.withColumnsRenamed({"node": "pivot", "items": "centre"}), "pivot")
+    items = F.concat(F.array_except("items", "centre"), F.array_except("centre", "items"))
+    apart = sides.select("pivot", "node", "comp", "n", items.alias("items")).withColumn("w", F.size("items") * q - F.col("n") * r)
+    apart = table(apart)
+    middle = apart.groupBy("pivot").agg(F.min(F.struct("w", "comp")).alias("m")).select("pivot", F.col("m.w").alias("w0"), F.col("m.comp").alias("comp0"))
+    apart = apart.join(table(middle), "pivot").withColumn("inside", F.col("w") + F.col("w0") <= 0)
+    links = apart.filter("inside and comp != comp0").select(F.col("comp0").alias("a"), F.col("comp").alias("b")).distinct()
+    # those inside look for some outside, whose w is over -w0; those outside for any, which must have enough items
+    outside = F.greatest(F.col("w") + F.col("w0"), F.col("w") * 2 - F.expr(f"n * 100 div {percent}") * (2 * r))
+    need = F.when(F.col("inside"), F.col("w") - F.col("w0")).otherwise(outside)
+    return apart.select("pivot", "node", F.when(F.col("inside"), F.col("comp0")).otherwise(F.col("comp")).alias("comp"), "n", "w", need.alias("need"), "items"), links
+
+
+def _ties(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of open nodes (node, comp), which join whatever linked pairs of them join.
+
+    Nodes that meet at an item of few prefixes are paired. Those of a longer list are set against one of them, that with
+    fewest items of its own, and meet in the next round by the items that tell them from it. The last round pairs all."""
+    rows, pairs, links = _whole(open_, sets, percent), [], []
+    for long in (*LONG, None):
+        prefix = _prefixes(rows, percent)
+        lists = prefix.groupBy("pivot", "item").agg(F.count("*").alias("nodes"), F.min(F.struct("own", "node")).alias("first"))
+        lists = table(lists.filter(F.col("nodes") > F.lit(long)).select("pivot", "item", F.col("first.node").alias("next")))
+        if lists.isEmpty():
+            pairs.append(_met(prefix, percent))
+            break
+        pairs.append(_met(prefix.join(lists, ["pivot", "item"], "left_anti"), percent))
+        members = prefix.join(lists, ["pivot", "item"]).select(F.col("next").alias("pivot"), "node", "comp", "n").distinct()
+        rows, more = _around(members, sets, percent)
+        links.append(more)
+    new = _linked(reduce(DataFrame.unionByName, pairs).distinct(), sets, percent)
+    return table(reduce(DataFrame.unionByName, links, new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))))
 
 
 def _spread(buckets: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -245,12 +312,12 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     at, mixed = _spread(buckets, comp)
     open_ = table(at.join(mixed.select("key"), "key", "left_semi").select("node", "comp").distinct())
     # prefixes leave pairs that sketches would let through (98 of 100 of them), so these go straight to their sets
-    new = table(_linked(_partners(open_, sets, percent), sets, percent))
+    new = _ties(open_, sets, percent)
     # an id with several texts ties their sets together
     several = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a != b").select("doc_id", "a")
     tied = named.join(table(several), "doc_id").select("a", F.col("node").alias("b"))
     ties = comp.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    whole = components(ties.unionByName(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).unionByName(tied.filter("a != b")))
+    whole = components(ties.unionByName(new).unionByName(tied.filter("a != b")))
     least = nodes.select("node", "doc_id").join(whole, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     whole = table(whole.join(table(least), "component").select("node", "component_id"))
     out = sketched.drop("regs", "th").join(whole, "node", "left")

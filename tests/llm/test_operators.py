@@ -400,3 +400,58 @@ def test_prefixes_find_every_linked_pair_once_or_more(spark, percent):
     found = {(r["a"], r["b"]) for r in _linked(_partners(nodes, items, percent), items, percent).collect()}
     linked = {(a, b) for a in sets for b in sets if a % 5 < b % 5 and 100 * len({*sets[a]} & {*sets[b]}) >= percent * len({*sets[a]} | {*sets[b]})}
     assert found == linked and len(linked) > 20
+
+
+@pytest.mark.parametrize("percent, long", [(80, (2, 2, 2)), (50, (2, 2, 2)), (80, (8,)), (60, (1, 1, 1, 1, 1))])
+def test_long_lists_lose_no_link(spark, monkeypatch, percent, long):
+    """Rounds around one node of a list find links between all components that brute force links, and no other ones."""
+    from inkwell.llm import neardup
+
+    monkeypatch.setattr(neardup, "LONG", long)
+    rng, sets = random.Random(percent + len(long)), {}
+    for base in range(5):
+        core = rng.sample(range(600), rng.randint(30, 60))
+        for _ in range(30):
+            sets[len(sets)] = sorted({rng.randrange(600) if rng.random() < rng.choice([0.02, 0.06, 0.2]) else x for x in core})
+    items = spark.createDataFrame(list(sets.items()), "node bigint, items array<bigint>")
+    comp = {k: rng.choice([k, k // 4]) for k in sets}
+    nodes = spark.createDataFrame(list(comp.items()), "node bigint, comp bigint")
+    linked = {(comp[a], comp[b]) for a in sets for b in sets if a < b and 100 * len({*sets[a]} & {*sets[b]}) >= percent * len({*sets[a]} | {*sets[b]})}
+
+    def joined(links):
+        up = {c: c for c in comp.values()}
+
+        def root(c):
+            return c if up[c] == c else root(up[c])
+
+        for a, b in links:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+        return {c: root(c) for c in up}
+
+    found = neardup._ties(nodes, items, percent).collect()
+    assert joined((r["a"], r["b"]) for r in found) == joined(linked) and len(linked) > 20
+
+
+def test_near_copies_under_the_threshold_are_not_paired(spark, monkeypatch):
+    """400 copies of one text, most of them just too different from each other: pairs that reach the sets stay few."""
+    from inkwell.llm import neardup
+
+    rng, seen, real = random.Random(7), [], neardup._linked
+    base = [f"word{i}" for i in range(80)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(80), 0 if i < 2 else rng.randint(4, 7)):
+            words[at] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+
+    def counted(pairs, sets, percent):
+        seen.append(pairs.count())
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(neardup, "_linked", counted)
+    out = neardup.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), words=2).collect()
+    brute = H.near_groups(rows, 2)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute
+    assert len({c for _, c in brute.values()}) > 20
+    assert sum(seen) < 6000, seen
