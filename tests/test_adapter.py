@@ -202,3 +202,29 @@ def test_against_sql(spark, name):
     c.sql(f"create view documents as select * from '{DATA}/documents.parquet'")
     df, sql = QUERIES[name](spark, DATA), c.sql(ORACLE_SQL[name])
     assert plain(df.collect(), df.columns) == plain(sql.fetchall(), sql.columns)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+@pytest.mark.parametrize("name", ["ingest_stage_keys"])
+def test_what_a_query_writes_stays_near_its_input(spark, name):
+    """Texts are written once, compressed, and stage rows without the columns that nobody reads."""
+    folder = spark.conf.get("spark.checkpoint.dir")
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names if f.startswith("part-"))
+    before = size()
+    QUERIES[name](spark, DATA)
+    assert size() - before < 4 * os.path.getsize(f"{DATA}/documents.parquet")
+
+
+def test_markdown_and_normalisers_by_their_patterns(spark):
+    """The plain functions give what the patterns of the contract give."""
+    from inkwell.functions import text as T
+
+    rng, parts = random.Random(3), ["a", "b c", "\n", "\r\n", "\r", "\n\n\n", " ", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u2028", "\u3000", "\u200b", "%20", "%C3%A9", "%", "+", "é"]
+    rows = spark.createDataFrame([("".join(rng.choice(parts) for _ in range(rng.randint(0, 12))),) for _ in range(2000)], "x string")
+    x = F.col("x")
+    lines = F.regexp_replace(F.regexp_replace(x, "\r\n?", "\n"), r"(?U)[\s\x1c-\x1f&&[^\n]]+(?=\n|\z)", "")
+    whole = F.regexp_replace(F.regexp_replace(lines, r"\A\n+|\n+\z", ""), r"\n{3,}", "\n\n")
+    plain_ = F.nullif(F.regexp_replace(x, rf"(?U)^{T.WS}+|{T.WS}+\z", ""), F.lit(""))
+    decoded = F.try_url_decode(F.replace(F.regexp_replace(x, "%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B")))
+    pairs = ((T.markdown(x), whole), (T.markdown(T.markdown(x)), whole), (T.blank_to_null(x), plain_), (T.unquote(x), decoded))
+    assert rows.filter(~F.forall(F.array(*(a.eqNullSafe(b) for a, b in pairs)), lambda y: y)).isEmpty()
