@@ -205,7 +205,7 @@ def test_against_sql(spark, name):
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
-@pytest.mark.parametrize("name", ["ingest_stage_keys", "ingest_stage_bodies"])
+@pytest.mark.parametrize("name", ["ingest_stage_keys", "ingest_stage_bodies", "ingest_merged_bodies", "ingest_merged_assets"])
 def test_what_a_query_writes_stays_near_its_input(spark, name):
     """Texts are written once, compressed, and stage rows without the columns that nobody reads."""
     folder = spark.conf.get("spark.checkpoint.dir")
