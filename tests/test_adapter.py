@@ -215,6 +215,12 @@ def test_what_a_query_writes_stays_near_its_input(spark, name):
     assert size() - before < 4 * os.path.getsize(f"{DATA}/documents.parquet")
 
 
+def test_texts_are_searched_for_names_once(spark):
+    docs = spark.createDataFrame([("1", "N", "# Acme Corp\nAcme Corp")], "bundle_id string, title string, text string")
+    names = spark.createDataFrame([("investment", "Acme Corp", "I1")], "entity_type string, entity_name string, entity_id string")
+    assert "MapInPandas" not in extract.entity_links(settled(bodies(docs)), names)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_markdown_and_normalisers_by_their_patterns(spark):
     """The plain functions give what the patterns of the contract give."""
     from inkwell.functions import text as T
